@@ -40,23 +40,29 @@ def pick(u: Column, n: Column) -> Column:
     return F.floor(u * n).cast("int")
 
 
-def fixture_cell(key: Column, col: Column, sql_type: Column, pool: Column) -> Column:
+def is_number_column(col: Column, sql_type: Column) -> Column:
+    """Columns that get numbers: by type, or by the end of their name."""
+    number = is_numeric_type(sql_type)
+    for suffix in NUMBER_SUFFIXES:
+        number = number | col.endswith(suffix)
+    return number
+
+
+def fixture_cell(key: Column, number: Column, pool: Column) -> Column:
     """One synthetic cell as text.
 
     With a non-empty pool, 40% of cells are a pool member. Else a number column
     gets 1..6 and any other column one of five words: ranges that small make join
     keys and categories meet across rows.
     """
-    size = F.coalesce(F.size(pool), F.lit(0))
-    number = is_numeric_type(sql_type)
-    for suffix in NUMBER_SUFFIXES:
-        number = number | col.endswith(suffix)
     words = F.array(*[F.lit(w) for w in FILLER_WORDS])
 
     def drawn(digest: Column) -> Column:
-        u, v = unit(digest, 0), unit(digest, 1)
+        v = unit(digest, 1)
         return (
-            F.when((size > 0) & (u < LITERAL_SHARE), F.get(pool, pick(v, size)))
+            F.when(
+                (F.size(pool) > 0) & (unit(digest, 0) < LITERAL_SHARE), F.get(pool, pick(v, F.size(pool)))
+            )
             .when(number, (pick(v, F.lit(SMALL_INTS)) + 1).cast("string"))
             .otherwise(F.get(words, pick(v, F.lit(len(FILLER_WORDS)))))
         )

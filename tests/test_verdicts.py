@@ -1,0 +1,181 @@
+"""Multisets, verdicts, and query texts run on many databases."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairloom.functions import cells
+from pairloom.operators import execute, fixtures, verdicts
+from pairloom.plans import scoring
+
+RESULT = "pair_id bigint, db_ix int, side string, row_key string, all_null boolean"
+RUN = "pair_id bigint, db_ix int, built boolean, gold_ok boolean, candidate_ok boolean"
+
+
+def frames(spark, rows, runs):
+    return spark.createDataFrame(rows, RESULT), spark.createDataFrame(runs, RUN)
+
+
+def verdict(spark, rows, runs):
+    return {r["pair_id"]: r["verdict"] for r in verdicts.exec_verdict(*frames(spark, rows, runs)).collect()}
+
+
+def test_verdict_rules(spark):
+    g, c = "gold", "candidate"
+    ok = (True, True, True)
+    rows = [
+        (1, 0, g, "a", False), (1, 0, c, "a", False),
+        (3, 0, c, "a", False),
+        (4, 0, g, "n", True), (4, 0, c, "n", True),
+        (5, 0, g, "a", False), (5, 0, g, "a", False), (5, 0, c, "a", False),
+        (7, 0, g, "a", False), (7, 0, c, "b", False),
+        (8, 1, g, "a", False), (8, 1, c, "a", False),
+    ]
+    runs = [
+        (1, 0, *ok), (2, 0, *ok), (3, 0, *ok), (4, 0, *ok), (5, 0, *ok),
+        (6, 0, True, False, False),
+        (7, 0, *ok), (7, 1, True, False, True),
+        (8, 0, *ok), (8, 1, *ok),
+        (9, 0, False, True, True),
+        (10, 0, True, True, False),
+    ]
+    assert verdict(spark, rows, runs) == {
+        1: "match",
+        2: "non_discriminative",
+        3: "mismatch",  # rows where gold has none
+        4: "non_discriminative",  # all cells NULL
+        5: "mismatch",  # by multiplicity
+        6: "gold_error",  # gold is tested first
+        7: "mismatch",  # an earlier database ends it
+        8: "match",  # gold is non-empty on some database
+        9: "gold_error",
+        10: "mismatch",
+    }
+
+
+def test_multiset_equal_agrees_with_except_all(spark):
+    rng = random.Random(7)
+    rows = [
+        (p, 0, side, rng.choice("abc"), False)
+        for p in range(40)
+        for side in ("gold", "candidate")
+        for _ in range(rng.randint(0, 3))
+    ]
+    results, runs = frames(spark, rows, [(p, 0, True, True, True) for p in range(40)])
+    got = {r["pair_id"]: r["equal"] for r in verdicts.multiset_equal(results, runs).collect()}
+    side = lambda name: results.filter(F.col("side") == name).select("pair_id", "row_key")
+    gold, cand = side("gold"), side("candidate")
+    differing = {r[0] for r in gold.exceptAll(cand).union(cand.exceptAll(gold)).select("pair_id").collect()}
+    assert got == {p: p not in differing for p in range(40)}
+    # Neither swapping the sides nor another partitioning changes anything.
+    swapped = results.withColumn("side", F.when(F.col("side") == "gold", "candidate").otherwise("gold")).repartition(5)
+    assert {r["pair_id"]: r["equal"] for r in verdicts.multiset_equal(swapped, runs.repartition(3)).collect()} == got
+
+
+SHAPES = [
+    "SELECT count(*) FROM t WHERE b = '1'",
+    "SELECT a FROM t WHERE a > 3",
+    "SELECT b, count(*) AS n FROM t GROUP BY b ORDER BY n DESC, b LIMIT 1",
+    "SELECT t.a, u.c FROM t JOIN u ON t.a = u.k",
+    "SELECT T1.a, T2.c FROM t AS T1 LEFT JOIN u AS T2 ON T1.a = T2.k",
+    "SELECT a FROM t WHERE a IN (SELECT k FROM u WHERE c = '1')",
+    "SELECT a FROM t WHERE a > (SELECT avg(a) FROM t)",
+    "SELECT a FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.k = t.a)",
+    "SELECT a FROM t INTERSECT SELECT k FROM u",
+    "SELECT a FROM t EXCEPT SELECT k FROM u",
+    "SELECT a FROM t UNION SELECT k FROM u",
+    "SELECT DISTINCT b FROM t",
+    "SELECT b FROM t GROUP BY b HAVING count(*) > 1",
+    "SELECT max(a) - min(a) FROM t WHERE a > 100",
+    "SELECT x.a FROM (SELECT a FROM t WHERE a > 2) AS x ORDER BY a",
+    "SELECT a FROM t ORDER BY a DESC LIMIT 2",
+]
+
+
+@pytest.fixture(scope="module")
+def keyed(spark):
+    t = spark.range(300).selectExpr("id % 6 AS db_ix", "(id * 7) % 11 AS a", "cast(id % 3 AS string) AS b")
+    u = t.selectExpr("db_ix", "a + db_ix AS k", "b AS c").filter("k % 2 = 0")
+    return {"t": t, "u": u}
+
+
+@pytest.mark.parametrize("sql", SHAPES)
+def test_one_plan_equals_a_plan_per_database(spark, keyed, sql):
+    dbs = spark.range(8).selectExpr("id AS db_ix")  # two databases have no rows
+    got = execute.plan_text(spark, sql, dbs, keyed)
+    with execute._query_settings(spark):
+        want = execute._plan_per_key(spark, sql, dbs, keyed, ("db_ix",))
+    rows = lambda df: sorted((r["db_ix"], r["row_key"]) for r in df.collect())
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize(
+    "sql",
+    ["DROP TABLE t", "", "SELECT 1; SELECT 2", "SELECT 1 -- x", "SELECT reflect('java.lang.System', 'exit', 1)",
+     "SELECT `reflect` ('a')", "SELECT * FROM range(10)", "SELECT * FROM other", "SELECT * FROM parquet.`/etc`",
+     "SELECT a FROM t) q_, LATERAL (SELECT 1", "INSERT INTO t VALUES (1)"],
+)
+def test_unsafe_texts_do_not_run(spark, keyed, sql):
+    with pytest.raises(Exception):
+        execute.plan_text(spark, sql, spark.range(2).selectExpr("id AS db_ix"), keyed)
+    assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
+
+
+SCHEMA = "CREATE TABLE t (a INTEGER, b VARCHAR, c REAL) CREATE TABLE u (k INTEGER, d VARCHAR)"
+SCORED = [
+    ("SELECT a FROM t WHERE a > 3", "SELECT a FROM t WHERE a >= 4", "match"),
+    ("SELECT a FROM t WHERE a > 3", "SELECT a FROM t WHERE a > 4", "mismatch"),
+    ("SELECT b FROM t WHERE b = 'x'", 'SELECT b FROM t WHERE b = "x"', "match"),
+    ("SELECT nope FROM t", "SELECT nope FROM t", "gold_error"),
+    ("SELECT a FROM t", "SELECT nope FROM t", "mismatch"),
+    ("SELECT a FROM t WHERE a > 3 AND a < 2", "SELECT a FROM t WHERE a > 3 AND a < 2", "non_discriminative"),
+    ("SELECT count(*) FROM t WHERE a > 3 AND a < 2", "SELECT count(*) FROM t WHERE a > 3 AND a < 2", "match"),
+    ("SELECT t.a FROM t JOIN u ON t.a = u.k", "SELECT DISTINCT t.a FROM t JOIN u ON t.a = u.k", "mismatch"),
+    ("SELECT a FROM t WHERE a IN (SELECT k FROM u)", "SELECT a FROM t WHERE a IN (SELECT DISTINCT k FROM u)", "match"),
+    ("SELECT a FROM t", "DROP TABLE t", "mismatch"),
+    ("SELECT 1/0 AS x, a FROM t", "SELECT NULL AS x, a FROM t", "match"),
+]
+
+
+def test_score_pairs(spark):
+    rows = [(i, SCHEMA, g, c, i) for i, (g, c, _) in enumerate(SCORED)]
+    rows += [(100, "no schema", "SELECT 1", "SELECT 1", 0), (101, "CREATE TABLE t (a INT, A TEXT)", "SELECT 1", "SELECT 1", 0)]
+    pairs = spark.createDataFrame(rows, "pair_id bigint, schema string, gold string, candidate string, seed bigint")
+    got = {r["pair_id"]: r["verdict"] for r in scoring.score_pairs(pairs).collect()}
+    want = {i: v for i, (_, _, v) in enumerate(SCORED)} | {100: "gold_error", 101: "gold_error"}
+    assert got == want
+
+
+def facts(spark, n, partitions):
+    df = spark.range(n).select(
+        "id", F.col("id").alias("seed"), F.lit(SCHEMA).alias("schema"),
+        F.lit("SELECT a FROM t WHERE a > 3 AND b = 'x'").alias("gold"), F.lit("SELECT a FROM t WHERE c < 1.5 AND b = ''").alias("candidate"),
+    )
+    return fixtures.with_schema_facts(df.repartition(partitions))
+
+
+def test_fixture_rows(spark):
+    rows = fixtures.fixture_rows(facts(spark, 400, 8), ["id"])
+    again = fixtures.fixture_rows(facts(spark, 400, 1), ["id"])
+    assert rows.exceptAll(again).isEmpty() and again.exceptAll(rows).isEmpty()
+    per_table = rows.groupBy("table_name").agg(
+        (F.count("*") / (400 * 5)).alias("n"), F.count_if(F.col("row_kind") == "partial").alias("partial")
+    )
+    # 7 rows and one for each column with literals.
+    assert {r["table_name"]: (r["n"], r["partial"]) for r in per_table.collect()} == {"t": (10.0, 6000), "u": (7.0, 0)}
+    full = rows.filter("row_kind = 'full' AND table_name = 't'").select("cells").distinct().collect()
+    assert [r["cells"] for r in full] == [["3", "x", "1.5"]]
+    filler = rows.filter("row_kind = 'filler' AND table_name = 't'")
+    n = filler.count()
+    literal = filler.filter(F.get("cells", F.lit(1)).isin("x", "")).count()
+    assert abs(literal / n - 0.4) < 0.02
+    words = filler.groupBy(F.get("cells", F.lit(1)).alias("w")).count().collect()
+    share = {r["w"]: r["count"] / n for r in words}
+    assert set(share) == {"x", "", "alpha", "bravo", "carol", "delta", "echo"}
+    assert all(abs(share[w] - 0.12) < 0.02 for w in ("alpha", "bravo", "carol", "delta", "echo"))
+
+
+def test_reward(spark):
+    df = spark.createDataFrame([("match",), ("mismatch",), ("gold_error",), ("non_discriminative",)], "v string")
+    assert [r[0] for r in df.select(verdicts.reward(F.col("v"))).collect()] == [1.0, 0.0, 0.0, 0.0]

@@ -50,11 +50,20 @@ def exec_match_accuracy(judged: DataFrame, by: list[str] | None = None) -> DataF
 
 def metric_disagreement(judged: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows the string metric and the execution metric judge differently."""
-    return judged.groupBy(*(by or [])).agg(
+    return judged.groupBy(*(by or [])).agg(*_disagreement_counts())
+
+
+def _disagreement_counts() -> list[Column]:
+    return [
         F.count_if("match").alias("string_matches"),
         F.count_if(F.col("match") != (F.col("verdict") == "match")).alias("disagreements"),
         F.count("*").alias("total"),
-    )
+    ]
+
+
+def execution_report(judged: DataFrame) -> DataFrame:
+    """Execution accuracy, excluded counts and disagreement with the string metric."""
+    return judged.agg(*_verdict_counts(), *_disagreement_counts())
 
 
 def model_comparison(judged: DataFrame) -> DataFrame:

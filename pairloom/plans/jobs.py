@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import render, sqltext
-from ..operators import band, chats, metrics, pairs, splits
+from ..operators import band, chats, pairs, splits
 from ..operators.verdicts import reward
 from ..sources import jsonl
 from ..staging import staged
@@ -56,11 +56,6 @@ def score_predictions(predictions: DataFrame) -> DataFrame:
     return predictions.join(judged.withColumnRenamed("pair_id", "line_no"), "line_no")
 
 
-def execution_report(judged: DataFrame) -> DataFrame:
-    """Execution accuracy, excluded counts and disagreement with the string metric."""
-    return metrics.exec_match_accuracy(judged).join(metrics.metric_disagreement(judged))
-
-
 def mine_preferences(
     prompts: DataFrame, samples: DataFrame, gold_chosen: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pairloom.operators import chats, metrics
+from pairloom.staging import staged
 
 from . import tables as t
 from .judging import _SELF_SQL, self_verdicts, verdict_rows
@@ -29,7 +30,9 @@ def exact_match_accuracy(spark, sf):
 SELECT model, position, correct::BIGINT AS correct, correct / position AS accuracy FROM r WHERE position % 10 = 0""",
 )
 def running_accuracy(spark, sf):
-    return metrics.running_accuracy(predictions(spark, sf))
+    """Over a written table, as predictions are: the texts are matched once."""
+    scored = predictions(spark, sf).select("model", "line_no", "match")
+    return metrics.running_accuracy(staged(scored, "predictions"))
 
 
 # Orders judged by execution, with a string metric that looks at the price only.

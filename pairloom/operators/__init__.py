@@ -1 +1 @@
-from . import band, chats, execute, fixtures, metrics, pairs, positions, splits, verdicts  # noqa: F401
+from . import band, chats, execute, fixtures, metrics, pairs, positions, skew, splits, verdicts  # noqa: F401

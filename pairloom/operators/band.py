@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pairs import keep_first
+from .skew import salted_join
 
 
 def band_lookup(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -83,11 +84,12 @@ def dead_group_share(stats: DataFrame) -> DataFrame:
 def group_advantage(rewards: DataFrame, scale_by_std: bool = False) -> DataFrame:
     """Reward less the group mean; zero throughout a dead group.
 
-    The mean is joined back rather than taken over a window: a window would put a
-    very large group in one task, while the adaptive skew join splits it.
+    The mean is joined back rather than taken over a window, which would put a very
+    large group in one task. Rows of such a group are dealt out by ``sample_ix``.
     """
     stats = group_reward_stats(rewards).select("prompt_id", "mean_reward", "std_reward")
     centred = F.col("reward") - F.col("mean_reward")
     if scale_by_std:
         centred = F.when(F.col("std_reward") > 0, centred / F.col("std_reward")).otherwise(F.lit(0.0))
-    return rewards.join(stats, "prompt_id").select(*rewards.columns, centred.alias("advantage"))
+    joined = salted_join(rewards, stats, ["prompt_id"], "sample_ix")
+    return joined.select(*rewards.columns, centred.alias("advantage"))

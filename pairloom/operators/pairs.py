@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.render import assistant_turn, user_turn
+from .skew import salted_join
 
 
 def distinct_candidates(samples: DataFrame) -> DataFrame:
@@ -27,13 +28,11 @@ def distinct_candidates(samples: DataFrame) -> DataFrame:
 def label_candidates(samples: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Every sample, copies included, with the verdict of its text.
 
-    ``verdicts`` has one row per (prompt_id, candidate). A text that fills much of
-    one prompt makes a large partition on the sample side only; the adaptive
-    skew join splits that side.
+    ``verdicts`` has one row per (prompt_id, candidate). A text that fills much of a
+    very large prompt is dealt over several tasks.
     """
-    return samples.join(
-        verdicts.select("prompt_id", "candidate", "verdict"), ["prompt_id", "candidate"]
-    )
+    judged = verdicts.select("prompt_id", "candidate", "verdict")
+    return salted_join(samples, judged, ["prompt_id", "candidate"], "sample_ix")
 
 
 def prompt_outcomes(distinct: DataFrame) -> DataFrame:

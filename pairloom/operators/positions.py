@@ -19,7 +19,7 @@ def bucket_offsets(
     Adds ``<name>_before``. A window sees ``chunk`` buckets, then one row per chunk.
     """
     group = list(group)
-    buckets = buckets.withColumn("_chunk", F.floor(F.col("_bucket") / chunk))
+    buckets = buckets.withColumn("_chunk", F.expr(f"_bucket div {chunk}"))
     within = (
         Window.partitionBy(*group, "_chunk")
         .orderBy("_bucket")
@@ -60,12 +60,14 @@ def running_totals(
     """Position and running sums per group along a unique integer column.
 
     Adds ``position`` (1-based) and one running sum per entry of ``values``. A
-    bucket spans ``width`` values of ``order``, which is unique in its group, so it
-    has at most ``width`` rows however large the group is.
+    bucket spans ``width`` values of ``order``, which is unique in its group, so its
+    size is bounded however large the group is. The totals of the buckets combine
+    before their shuffle; the rows are shuffled once. ``df`` is scanned for both, so
+    pass narrow rows that are cheap to read.
     """
     group = list(group)
     rows = df.withColumns(
-        {"_bucket": F.floor(F.col(order) / width), "_n": F.lit(1).cast("bigint")}
+        {"_bucket": F.expr(f"`{order}` div {width}"), "_n": F.lit(1).cast("bigint")}
         | {f"_v_{name}": col.cast("bigint") for name, col in values.items()}
     )
     sums = ["_n", *[f"_v_{name}" for name in values]]

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import hex_int, order_key
-from .positions import bucket_offsets
 
 # ---- fixed values: default sizes, in shuffle order ----
 DEFAULT_SEED = 42
@@ -29,13 +28,14 @@ def _ranked(rows: DataFrame, seed: int, row_id: str, below: int | None) -> DataF
     the buckets that reach that far are kept, before anything is shuffled.
     """
     counts = _keyed(rows.select(row_id), seed, row_id).groupBy("_bucket").agg(F.count("*").alias("_n"))
-    starts = bucket_offsets(counts, [], ["_n"], chunk=256)
+    # At most 65,536 rows of two numbers: one task adds them up, and broadcasting
+    # them is always safe.
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"))
     if below is not None:
         starts = starts.filter(F.col("_n_before") < below)
-    # At most 65,536 rows of two numbers, so broadcasting them is always safe.
-    starts = F.broadcast(starts.select("_bucket", "_n_before"))
     in_bucket = Window.partitionBy("_bucket").orderBy("_key", row_id)
-    ranked = _keyed(rows, seed, row_id).join(starts, "_bucket").withColumn(
+    ranked = _keyed(rows, seed, row_id).join(F.broadcast(starts), "_bucket").withColumn(
         "position", F.col("_n_before") + F.row_number().over(in_bucket) - 1
     )
     if below is not None:

@@ -113,9 +113,12 @@ def screen_prompts(prompts: DataFrame) -> DataFrame:
 
 
 def band_prompts(pair_files: list[DataFrame], rows: DataFrame) -> DataFrame:
-    """Prompts of pair files that are in the slice, mined ones only if any is tagged."""
+    """Prompts of pair files that are in the slice, mined ones only if any is tagged.
+
+    The lookup's result is read twice, for the tag and for the rows, so it is staged.
+    """
     found = band.band_lookup(pairs.union_files(pair_files), rows)
-    return band.band_source_filter(found.filter("matched")).drop("matched")
+    return band.band_source_filter(staged(found.filter("matched"), "band")).drop("matched")
 
 
 def reward_completions(completions: DataFrame) -> DataFrame:

@@ -180,7 +180,7 @@ def test_band(spark):
 
 def test_group_rewards(spark):
     rows = [(1, 1.0), (1, 0.0), (1, 0.0), (1, 0.0), (2, 1.0), (2, 1.0), (3, 0.0)]
-    rewards = spark.createDataFrame(rows, "prompt_id int, reward double")
+    rewards = spark.createDataFrame([(p, i, r) for i, (p, r) in enumerate(rows)], "prompt_id int, sample_ix int, reward double")
     adv = sorted((r["prompt_id"], r["advantage"]) for r in band.group_advantage(rewards).collect())
     assert adv == [(1, -0.25), (1, -0.25), (1, -0.25), (1, 0.75), (2, 0.0), (2, 0.0), (3, 0.0)]
     scaled = band.group_advantage(rewards, scale_by_std=True).filter("prompt_id = 1 AND reward = 1").first()

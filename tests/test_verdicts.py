@@ -86,6 +86,7 @@ SHAPES = [
     "SELECT a FROM t EXCEPT SELECT k FROM u",
     "SELECT a FROM t UNION SELECT k FROM u",
     "SELECT DISTINCT b FROM t",
+    "SELECT T1.a, T2.c FROM t AS T1, u AS T2 WHERE T1.a = T2.k",
     "SELECT b FROM t GROUP BY b HAVING count(*) > 1",
     "SELECT max(a) - min(a) FROM t WHERE a > 100",
     "SELECT x.a FROM (SELECT a FROM t WHERE a > 2) AS x ORDER BY a",
@@ -113,7 +114,7 @@ def test_one_plan_equals_a_plan_per_database(spark, keyed, sql):
 @pytest.mark.parametrize(
     "sql",
     ["DROP TABLE t", "", "SELECT 1; SELECT 2", "SELECT 1 -- x", "SELECT reflect('java.lang.System', 'exit', 1)",
-     "SELECT `reflect` ('a')", "SELECT * FROM range(10)", "SELECT * FROM other", "SELECT * FROM parquet.`/etc`",
+     "SELECT `reflect` ('a')", "SELECT * FROM range(10)", "SELECT * FROM other", "SELECT t.a FROM t, other WHERE t.a = 1", "SELECT x.a FROM t AS x JOIN other ON x.a = 1", "SELECT * FROM parquet.`/etc`",
      "SELECT a FROM t) q_, LATERAL (SELECT 1", "INSERT INTO t VALUES (1)"],
 )
 def test_unsafe_texts_do_not_run(spark, keyed, sql):

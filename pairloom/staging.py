@@ -6,6 +6,7 @@ folder in ``spark.checkpoint.dir``. Only a local session, where the driver is th
 one executor, gets a temporary folder instead.
 """
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="pairloom-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -34,3 +35,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_stage(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a staged table whose result is no longer needed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

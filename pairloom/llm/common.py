@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A table is broadcast only when its counted rows take less than this many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -45,6 +46,11 @@ def lower_ascii(column: str | Column) -> Column:
     return F.translate(column, upper, upper.lower())
 
 
+def with_fields(df: DataFrame, kept: list[str], more: str) -> StructType:
+    """The schema of a worker function that returns ``kept`` columns of ``df`` and ``more``."""
+    return StructType([*(df.schema[n] for n in kept), *StructType.fromDDL(more)])
+
+
 def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df``, a staged table, marked for broadcast if its counted rows are within the limit.
 

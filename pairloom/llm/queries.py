@@ -1,12 +1,13 @@
 """The operators over the driver's tables, with production parameters, and their SQL checks."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import Query
 
-from . import chat, decontaminate, linededup, packing, quality, simhash
+from . import chat, decontaminate, linededup, packing, quality, simhash, weighted
 
 #: Vocabularies of the installed package; every operator takes a path.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -131,3 +132,15 @@ FROM documents d LEFT JOIN built b USING (doc_id)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs, count_col="removed_lines")
+
+
+@_query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+@_query()
+def op9_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted.beside_next(_table(spark, sf_dir, "documents"))
+    hexed = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(hexed)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import Query
+from pairloom.staging import new_stage
 
-from . import chat, decontaminate, linededup, packing, quality, simhash, weighted
+from . import chat, decontaminate, linededup, packing, quality, simhash, warc, weighted
 
 #: Vocabularies of the installed package; every operator takes a path.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -144,3 +145,27 @@ def op9_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = weighted.beside_next(_table(spark, sf_dir, "documents"))
     hexed = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
     return found.withColumns(hexed)
+
+
+#: Five hex digits are four base-32 digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * k + 1}, 5))::INT >> {s}) & 31) + 1, 1)"
+    for k in range(8)
+    for s in (15, 10, 5, 0)
+)
+OP3_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN f USING (html)
+"""
+
+
+@_query(OP3_SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_stage(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import Query
 from pairloom.staging import new_stage
 
-from . import chat, decontaminate, linededup, packing, quality, simhash, warc, weighted
+from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, warc, weighted
 
 #: Vocabularies of the installed package; every operator takes a path.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -169,3 +169,80 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
     records = warc.read_archives(spark, path, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# The base rules, as this SQL needs them. Longer runs alone are whole matches.
+_OP2_RULES = [
+    (
+        0,
+        "assign",
+        r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+        r"|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+        2,
+        8,
+    ),
+    (1, "access", "AKIA[A-Z0-9]+", 0, 16),
+    (2, "hex", "[0-9a-f]{32,}", 0, 32),
+]
+_OP2_FOUND = "\nUNION ALL\n".join(
+    f"""SELECT doc_id, {k} AS k, '{kind}' AS kind, {least} AS least,
+  list_transform(string_split_regex(t, '{pattern.replace("'", "''")}'), lambda x: length(x)) AS gaps,
+  list_transform(regexp_extract_all(t, '{pattern.replace("'", "''")}', 0), lambda x: length(x)) AS sizes,
+  list_transform(regexp_extract_all(t, '{pattern.replace("'", "''")}', {group}), lambda x: length(x)) AS held
+FROM texts"""
+    for k, kind, pattern, group, least in _OP2_RULES
+)
+OP2_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({_OP2_FOUND}),
+spans AS (
+  SELECT doc_id, k, kind, list_sum(gaps[1:i])::BIGINT + coalesce(list_sum(sizes[1:i - 1]), 0)::BIGINT AS s, sizes[i] AS size
+  FROM (SELECT *, unnest(range(1, len(sizes) + 1)) AS i FROM found) WHERE held[i] >= least),
+named AS (SELECT *, kind || ':' || s || ':' || (s + size) AS span FROM spans),
+grouped AS (
+  SELECT doc_id, string_agg(span, ',' ORDER BY s, k) AS spans, count(*) FILTER (WHERE k = 0) AS n_assign,
+         count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex
+  FROM named GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN grouped USING (doc_id)
+"""
+
+
+@_query(OP2_SQL)
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    named = F.array_join(
+        F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(r.kind) for r in secrets.BASE_RULES),
+        F.sha2(named.cast("binary"), 256).alias("base_sha256"),
+        named.alias("spans"),
+    )
+
+
+@_query()
+def op8_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after loading all documents and a review by the labels: toxic ones deleted, poor ones cut by half."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    labels = _table(spark, sf_dir, "labels").filter("toxic = 1 OR quality = 0")
+    store = rollups.RollupStore(spark, new_stage(spark, "rollups"), {"word_bpe_49k": WORD_BPE})
+    seq = F.lit(0).cast("bigint").alias("seq")
+    store.apply("load", docs.select(F.lit("insert").alias("op"), seq, "*"))
+    review = docs.join(labels.select("doc_id", "toxic").distinct(), "doc_id").select(
+        F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"),
+        seq,
+        "doc_id",
+        "source",
+        "lang",
+        F.expr("left(text, char_length(text) div 2)").alias("text"),
+    )
+    store.apply("review", review)
+    store.apply("review", review)  # comes twice, counts once
+    return store.totals()

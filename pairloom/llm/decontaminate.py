@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import raw_text, ship
+from .common import raw_text, ship, with_fields
 
 WINDOW = 13
 #: A document is contaminated when hit words are at least this part of its words.
@@ -265,14 +265,13 @@ def find_hits(
         F.expr("cast(array() AS array<struct<start: bigint, end: bigint>>)").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("items"),
     )
-    kept = "".join(f"`{n}` {rows.schema[n].dataType.simpleString()}, " for n in keep)
     blocks = list(_blocks(items, item_id_col, item_text_col, block_words))
     for number, block in enumerate(blocks, 1):
         shared = spark.sparkContext.broadcast((block, window))
         key = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
         last = number == len(blocks)
         more = ("cleaned string, " if cleaned else "") if last else "raw binary, "
-        rows = rows.mapInArrow(_find(key, shared, last, cleaned), kept + more + _FOUND)
+        rows = rows.mapInArrow(_find(key, shared, last, cleaned), with_fields(rows, [*keep], more + _FOUND))
         if not last:
             rows = staged(rows, "hits")  # one automaton at a time in a task's memory
     return rows

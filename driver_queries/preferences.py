@@ -118,17 +118,19 @@ def load_pairs(spark, sf):
 
 
 def slice_rows(spark, sf):
-    """The mining slice: text, gold and seed of the urgent and low orders.
+    """The mining slice: text, gold and seed of all orders.
 
-    Each text occurs twice; the later seed counts.
+    Orders that are neither urgent nor low have another text, so their prompts are
+    unmatched. Each text occurs twice; the later seed counts.
     """
-    rows = t.table(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
-    prompts = t.sampled_prompts(spark, sf).join(
-        rows.select(F.col("o_orderkey").alias("prompt_id")), "prompt_id", "left_semi"
+    rows = t.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("prompt_id"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"), "").otherwise(" (other wording)").alias("tail"),
     )
+    prompts = t.sampled_prompts(spark, sf).join(rows, "prompt_id")
     again = F.explode(F.array(F.lit(0), F.lit(1)))
-    return prompts.select("prompt_id", "prompt_text", "gold", again.alias("again")).select(
-        "prompt_text",
+    return prompts.select("prompt_id", "prompt_text", "tail", "gold", again.alias("again")).select(
+        F.concat("prompt_text", "tail").alias("prompt_text"),
         F.concat("gold", F.lit("#"), F.col("again").cast("string")).alias("gold"),
         (F.col("prompt_id") * 2 + F.col("again")).alias("db_seed"),
     )
@@ -154,7 +156,7 @@ def band_lookup(spark, sf):
     f"WITH {_BAND} SELECT user_content, band_source, gold, db_seed FROM band WHERE matched AND band_source = 'mined'",
 )
 def band_source_filter(spark, sf):
-    found = jobs.band_prompts(pair_files(spark, sf), slice_rows(spark, sf))
+    found, _ = jobs.band_prompts(pair_files(spark, sf), slice_rows(spark, sf))
     return found.select("user_content", "band_source", "gold", "db_seed")
 
 
@@ -165,7 +167,7 @@ def band_source_filter(spark, sf):
 def band_source_filter_untagged(spark, sf):
     """Files from before the tag: every matched prompt stays."""
     files = [f.withColumn("source", F.lit(None).cast("string")) for f in pair_files(spark, sf)]
-    found = jobs.band_prompts(files, slice_rows(spark, sf))
+    found, _ = jobs.band_prompts(files, slice_rows(spark, sf))
     return found.select("user_content", "band_source", "gold", "db_seed")
 
 

@@ -72,31 +72,35 @@ def to_chat(spark, sf):
 
 
 _TURNS_SQL = """turns AS (
-  SELECT conv_id, turn // 1024 AS part, role, text,
-    row_number() OVER (PARTITION BY conv_id, turn // 1024 ORDER BY turn) - 1 AS ix,
-    count(*) OVER (PARTITION BY conv_id, turn // 1024) AS n
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ix,
+    count(*) OVER (PARTITION BY conv_id) AS n
   FROM conversations)"""
 
 
-@query("turns_to_chat", f"WITH {_TURNS_SQL} SELECT conv_id, part, ix, role, text AS content FROM turns")
+@query("turns_to_chat", f"WITH {_TURNS_SQL} SELECT conv_id, ix, role, text AS content FROM turns")
 def turns_to_chat(spark, sf):
     return _flat(chats.turns_to_chat(t.turns(spark, sf)))
 
 
-@query(
-    "split_prompt_gold",
-    f"""WITH {_TURNS_SQL}
-SELECT conv_id, part, max(text) FILTER (WHERE ix = n - 1) AS gold, max(text) FILTER (WHERE ix = n - 2) AS question,
-  string_agg(role || ': ' || text, '|' ORDER BY ix) FILTER (WHERE ix < n - 1) AS prompt
-FROM turns GROUP BY conv_id, part HAVING max(role) FILTER (WHERE ix = n - 1) = 'assistant' AND max(n) > 1""",
-)
+_USABLE_SQL = f"""{_TURNS_SQL}, usable AS (
+  SELECT conv_id, max(text) FILTER (WHERE ix = n - 1) AS gold, max(text) FILTER (WHERE ix = n - 2) AS question,
+    max(n) - 1 AS prompt_turns
+  FROM turns GROUP BY conv_id HAVING max(role) FILTER (WHERE ix = n - 1) = 'assistant' AND max(n) > 1)"""
+
+
+@query("split_prompt_gold", f"WITH {_USABLE_SQL} SELECT conv_id, gold, question, prompt_turns FROM usable")
 def split_prompt_gold(spark, sf):
     """Conversations that end with an assistant turn and have a prompt."""
-    chat = chats.turns_to_chat(t.turns(spark, sf))
-    last = F.get("messages", F.size("messages") - 1)
-    usable = chat.filter((last["role"] == "assistant") & (F.size("messages") > 1))
-    shown = F.array_join(F.transform("prompt", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "|")
-    return chats.split_prompt_gold(usable).select("conv_id", "part", "gold", "question", shown.alias("prompt"))
+    return chats.split_turns(t.turns(spark, sf))[1].select("conv_id", "gold", "question", "prompt_turns")
+
+
+@query(
+    "prompt_turns",
+    f"""WITH {_USABLE_SQL} SELECT t.conv_id, t.turn, t.role, t.text
+FROM turns t JOIN usable u ON u.conv_id = t.conv_id WHERE ix < n - 1""",
+)
+def prompt_turns(spark, sf):
+    return chats.split_turns(t.turns(spark, sf))[0]
 
 
 _SHOWN = f"""'{OPEN}' || CASE role WHEN 'assistant' THEN 'model' ELSE role END || chr(10) || text || '{CLOSE}'"""
@@ -105,14 +109,13 @@ _SHOWN = f"""'{OPEN}' || CASE role WHEN 'assistant' THEN 'model' ELSE role END |
 @query(
     "render_turns",
     f"""WITH {_TURNS_SQL}, r AS (
-  SELECT conv_id, part, string_agg({_SHOWN}, chr(10) ORDER BY ix) AS text FROM turns GROUP BY ALL)
-SELECT conv_id, part, text, text || chr(10) || '{OPEN}model' || chr(10) AS generation_text FROM r""",
+  SELECT conv_id, string_agg({_SHOWN}, chr(10) ORDER BY ix) AS text FROM turns GROUP BY ALL)
+SELECT conv_id, text, text || chr(10) || '{OPEN}model' || chr(10) AS generation_text FROM r""",
 )
 def render_turns(spark, sf):
     m = F.col("messages")
     return chats.turns_to_chat(t.turns(spark, sf)).select(
         "conv_id",
-        "part",
         render.render_turns(m).alias("text"),
         render.render_turns(m, generation=True).alias("generation_text"),
     )
@@ -122,48 +125,40 @@ def render_turns(spark, sf):
 _SPANS_SQL = f"""WITH {_TURNS_SQL}, shown AS (
   SELECT *, length({_SHOWN}) + 1 AS width FROM turns
 ), placed AS (
-  SELECT *, coalesce(sum(width) OVER w, 0) AS lo,
-    lead(role) OVER (PARTITION BY conv_id, part ORDER BY ix) AS next_role
-  FROM shown WINDOW w AS (PARTITION BY conv_id, part ORDER BY ix ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  SELECT *, coalesce(sum(width) OVER w, 0) AS lo, sum(width) OVER (PARTITION BY conv_id) - 1 AS all_chars
+  FROM shown WINDOW w AS (PARTITION BY conv_id ORDER BY ix ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), known AS (
+  SELECT *, lead(lo) OVER (PARTITION BY conv_id ORDER BY ix) AS next_lo FROM placed WHERE role IN ('user', 'assistant')
 ), spans AS (
-  SELECT conv_id, part, ix, lo + length('{OPEN}model') + 1 AS start_char,
-    lo + width - CASE WHEN ix = n - 1 THEN 1 ELSE 0 END AS end_char
-  FROM placed WHERE role = 'assistant')"""
+  SELECT conv_id, turn, lo + length('{OPEN}model') + 1 AS start_char, coalesce(next_lo, all_chars) AS end_char
+  FROM known WHERE role = 'assistant')"""
 
 
 @query(
     "response_spans",
-    f"{_SPANS_SQL} SELECT conv_id, part, start_char::BIGINT AS start_char, end_char::BIGINT AS end_char FROM spans",
+    f"{_SPANS_SQL} SELECT conv_id, turn, start_char::BIGINT AS start_char, end_char::BIGINT AS end_char FROM spans",
 )
 def response_spans(spark, sf):
-    m = render.render_turns(F.col("messages"))
-    return (
-        chats.turns_to_chat(t.turns(spark, sf))
-        .select("conv_id", "part", F.inline(render.response_spans(m)))
-        .select(
-            "conv_id",
-            "part",
-            F.col("start").cast("bigint").alias("start_char"),
-            F.col("end").cast("bigint").alias("end_char"),
-        )
+    return chats.turn_spans(t.turns(spark, sf)).select(
+        "conv_id", "turn", F.col("start").alias("start_char"), F.col("end").alias("end_char")
     )
 
 
 @query(
     "supervised_chars",
-    f"""{_SPANS_SQL} SELECT c.conv_id, c.part, coalesce(sum(end_char - start_char), 0)::BIGINT AS supervised_chars,
-  count(s.ix) = 0 AS fully_masked
-FROM (SELECT DISTINCT conv_id, part FROM turns) c LEFT JOIN spans s ON c.conv_id = s.conv_id AND c.part = s.part
+    f"""{_SPANS_SQL} SELECT c.conv_id, coalesce(sum(end_char - start_char), 0)::BIGINT AS supervised_chars,
+  count(s.turn) = 0 AS fully_masked
+FROM (SELECT DISTINCT conv_id FROM turns) c LEFT JOIN spans s ON c.conv_id = s.conv_id
 GROUP BY ALL""",
 )
 def supervised_chars(spark, sf):
+    """By the markers in the rendered text of each conversation."""
     spans = render.response_spans(render.render_turns(F.col("messages")))
     return (
         chats.turns_to_chat(t.turns(spark, sf))
-        .select("conv_id", "part", spans.alias("spans"))
+        .select("conv_id", spans.alias("spans"))
         .select(
             "conv_id",
-            "part",
             render.supervised_chars(F.col("spans")).cast("bigint").alias("supervised_chars"),
             render.fully_masked(F.col("spans")).alias("fully_masked"),
         )

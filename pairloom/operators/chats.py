@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import render, sqltext
-
-TURNS_PER_RECORD = 1024
-
+from ..staging import staged
+from .positions import running_totals
+from .skew import salted_join
 
 def to_chat(rows: DataFrame) -> DataFrame:
     """Instruction rows with their two-message record."""
@@ -14,27 +14,72 @@ def to_chat(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", render.chat_messages(prompt, F.col("answer")).alias("messages"))
 
 
-def turns_to_chat(turns: DataFrame, turns_per_record: int = TURNS_PER_RECORD) -> DataFrame:
-    """Long (conv_id, turn, role, text) rows to chat records.
+def turns_to_chat(turns: DataFrame) -> DataFrame:
+    """Long (conv_id, turn, role, text) rows to one chat record per conversation.
+
+    The record type is a list, so a conversation must fit in a row. Steps that only need
+    some turns, or places in the text, have long forms below that gather nothing.
+    """
+    items = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    messages = F.transform("items", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return turns.groupBy("conv_id").agg(items.alias("items")).select("conv_id", messages.alias("messages"))
+
+
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """Every turn with its 1-based ``position`` and the ``n_turns`` of its conversation."""
+    narrow = running_totals(turns.select("conv_id", "turn"), ["conv_id"], "turn", {})
+    counts = turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+    placed = salted_join(narrow, counts, ["conv_id"], "turn")
+    return turns.join(placed, ["conv_id", "turn"])
+
 
-    Turns are numbered from 0. A conversation longer than ``turns_per_record``
-    continues in the next ``part``: no turn is lost and no record grows without bound.
+def split_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Long form of ``split_prompt_gold``: the prompt's turns, and gold and question.
+
+    Of conversations with a prompt that end with an assistant's turn. The first result
+    has all turns but the last; the second ``conv_id``, ``gold``, ``question`` and
+    ``prompt_turns``. No conversation is gathered.
     """
-    part = F.floor(F.col("turn") / turns_per_record)
-    items = F.array_sort(
-        F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))
+    placed = staged(placed_turns(turns), "placed")
+    usable = (F.col("position") == F.col("n_turns")) & (F.col("role") == "assistant") & (F.col("n_turns") > 1)
+    gold = placed.filter(usable).select("conv_id", F.col("text").alias("gold"), (F.col("n_turns") - 1).alias("prompt_turns"))
+    asked = placed.filter(F.col("position") == F.col("n_turns") - 1).select("conv_id", F.col("text").alias("question"))
+    answers = gold.join(asked, "conv_id")
+    rest = placed.filter(F.col("position") < F.col("n_turns"))
+    prompts = salted_join(rest, gold.select("conv_id", "prompt_turns"), ["conv_id"], "turn")
+    return prompts.select("conv_id", "turn", "role", "text"), answers
+
+
+def turn_spans(turns: DataFrame) -> DataFrame:
+    """Long form of ``response_spans``: (conv_id, turn, start, end) in the rendered text.
+
+    A response runs from its text to the next user's or assistant's turn, over turns of
+    other roles, or to the end. Offsets are running sums of the turns' lengths. Markers that
+    occur inside a turn's text are not looked for.
+    """
+    shown = F.when(F.col("role") == "assistant", "model").otherwise(F.col("role"))
+    frame = F.lit(len(render.TURN_OPEN) + len(render.TURN_CLOSE) + 1)
+    known = F.col("role").isin("user", "assistant")
+    width = frame + F.length(shown) + F.length("text") + 1  # and the line break behind it
+    totals = running_totals(
+        turns.select("conv_id", "turn", "role", width.alias("width"), known.alias("known")),
+        ["conv_id"],
+        "turn",
+        {"until": F.col("width"), "segment": F.col("known").cast("int")},
     )
-    return (
-        turns.groupBy("conv_id", part.alias("part"))
-        .agg(items.alias("items"))
-        .select(
-            "conv_id",
-            "part",
-            F.transform(
-                "items", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
-            ).alias("messages"),
-        )
+    lengths = turns.groupBy("conv_id").agg(F.sum(width).alias("all_chars"))
+    open_chars = len(render.RESPONSE_MARKER)
+    start = F.when(F.col("role") == "assistant", F.col("until") - F.col("width") + open_chars)
+    # A segment is a user's or assistant's turn and the other turns behind it.
+    segments = (
+        totals.filter("segment > 0")
+        .groupBy("conv_id", "segment")
+        .agg(F.max(start).alias("start"), F.max(F.when(F.col("known"), F.col("turn"))).alias("turn"), F.max("until").alias("end"))
+        .filter("start IS NOT NULL")
     )
+    spans = salted_join(segments, lengths, ["conv_id"], "segment")
+    # The last turn has no line break behind it.
+    return spans.select("conv_id", "turn", "start", F.least("end", F.col("all_chars") - 1).alias("end")).filter("end > start")
 
 
 def split_prompt_gold(chats: DataFrame) -> DataFrame:
@@ -50,8 +95,11 @@ def split_prompt_gold(chats: DataFrame) -> DataFrame:
 
 
 def score_responses(responses: DataFrame) -> DataFrame:
-    """Adds ``prediction`` (the SQL in ``raw_response``) and ``match`` with ``gold``."""
+    """Adds ``prediction`` (the SQL in ``raw_response``) and ``match`` with ``gold``.
+
+    A missing response is no match; its prediction is NULL.
+    """
     with_sql = responses.withColumn("prediction", sqltext.extract_sql(F.col("raw_response")))
     return with_sql.withColumn(
-        "match", sqltext.exact_match(F.col("prediction"), F.col("gold"))
+        "match", F.coalesce(sqltext.exact_match(F.col("prediction"), F.col("gold")), F.lit(False))
     )

@@ -1,8 +1,8 @@
 """Positions and running totals without one task holding a whole group.
 
-A window over a group puts the group in one task. Here rows fall into buckets of
-bounded size that sort like the rows, buckets fall into chunks, and only three
-bounded windows run: rows in a bucket, buckets in a chunk, chunks in a group.
+Rows are range-partitioned by group and order, so a bucket is a partition: its size
+is the planner's, whatever the values of the order column and however large a group is.
+Windows run over the rows of a group in a bucket, and over one row per bucket of a group.
 """
 
 from collections.abc import Sequence
@@ -10,44 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def bucket_offsets(
-    buckets: DataFrame, group: Sequence[str], sums: Sequence[str], chunk: int = 4096
-) -> DataFrame:
-    """For one row per (group, ``_bucket``): the ``sums`` of all earlier buckets.
-
-    Adds ``<name>_before``. A window sees ``chunk`` buckets, then one row per chunk.
-    """
-    group = list(group)
-    buckets = buckets.withColumn("_chunk", F.expr(f"_bucket div {chunk}"))
-    within = (
-        Window.partitionBy(*group, "_chunk")
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    across = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (
-        buckets.groupBy(*group, "_chunk")
-        .agg(*[F.sum(s).alias(s) for s in sums])
-        .select(
-            *group,
-            "_chunk",
-            *[F.coalesce(F.sum(s).over(across), F.lit(0)).alias(f"{s}_chunks") for s in sums],
-        )
-    )
-    inner = buckets.select(
-        *group,
-        "_chunk",
-        "_bucket",
-        *sums,
-        *[F.coalesce(F.sum(s).over(within), F.lit(0)).alias(f"{s}_inner") for s in sums],
-    )
-    return inner.join(chunks, [*group, "_chunk"]).select(
-        *group,
-        "_bucket",
-        *sums,
-        *[(F.col(f"{s}_inner") + F.col(f"{s}_chunks")).alias(f"{s}_before") for s in sums],
-    )
+from ..staging import staged
 
 
 def running_totals(
@@ -55,32 +18,33 @@ def running_totals(
     group: Sequence[str],
     order: str,
     values: dict[str, Column],
-    width: int = 4096,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Position and running sums per group along a unique integer column.
+    """Position and running sums per group along a column that is unique in its group.
 
-    Adds ``position`` (1-based) and one running sum per entry of ``values``. A
-    bucket spans ``width`` values of ``order``, which is unique in its group, so its
-    size is bounded however large the group is. The totals of the buckets combine
-    before their shuffle; the rows are shuffled once. ``df`` is scanned for both, so
-    pass narrow rows that are cheap to read.
+    Adds ``position`` (1-based) and one running sum per entry of ``values``. The rows are
+    shuffled and staged once, with the number of their bucket, so pass narrow ones.
+    ``buckets`` fixes their number; by default the adaptive planner sizes them.
     """
     group = list(group)
-    rows = df.withColumns(
-        {"_bucket": F.expr(f"`{order}` div {width}"), "_n": F.lit(1).cast("bigint")}
-        | {f"_v_{name}": col.cast("bigint") for name, col in values.items()}
+    keyed = df.withColumns(
+        {"_n": F.lit(1).cast("bigint")} | {f"_v_{name}": col.cast("bigint") for name, col in values.items()}
     )
     sums = ["_n", *[f"_v_{name}" for name in values]]
-    buckets = rows.groupBy(*group, "_bucket").agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = bucket_offsets(buckets, group, sums, chunk=width).drop(*sums)
-    local = (
+    ranged = keyed.repartitionByRange(*([buckets] if buckets else []), *group, order)
+    rows = staged(ranged.withColumn("_bucket", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(*group, "_bucket")
+        .agg(*[F.sum(s).alias(s) for s in sums])
+        .select(*group, "_bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_before") for s in sums])
+    )
+    here = (
         Window.partitionBy(*group, "_bucket")
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    out = rows.withColumns({f"{s}_here": F.sum(s).over(local) for s in sums}).join(
-        offsets, [*group, "_bucket"]
-    )
+    out = rows.withColumns({f"{s}_here": F.sum(s).over(here) for s in sums}).join(offsets, [*group, "_bucket"])
     return out.select(
         *df.columns,
         (F.col("_n_here") + F.col("_n_before")).alias("position"),

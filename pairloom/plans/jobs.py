@@ -1,6 +1,6 @@
 """Whole jobs: preparation, evaluation, pair mining, band selection."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import render, sqltext
@@ -25,9 +25,12 @@ def prepare_dataset(
 
 
 def evaluate_responses(examples: DataFrame, responses: DataFrame, model: str) -> DataFrame:
-    """Prediction rows from chat examples and the model's responses by ``line_no``."""
+    """Prediction rows from chat examples and the model's responses by ``line_no``.
+
+    An example without a response counts as a miss.
+    """
     asked = chats.split_prompt_gold(examples).select("line_no", "question", "gold")
-    answered = asked.join(responses.select("line_no", "raw_response"), "line_no")
+    answered = asked.join(responses.select("line_no", "raw_response"), "line_no", "left")
     return chats.score_responses(answered).select(
         F.lit(jsonl.model_label(model)).alias("model"),
         "line_no",
@@ -40,20 +43,22 @@ def evaluate_responses(examples: DataFrame, responses: DataFrame, model: str) ->
 
 
 def score_predictions(predictions: DataFrame) -> DataFrame:
-    """Prediction rows of one file with the verdict of running both queries.
+    """Prediction rows, of any number of models, with the verdict of running both queries.
 
-    The line number is the seed of a row's databases.
+    A row is (model, line_no); the line number is the seed of its databases, so that all
+    models are judged on the same ones. A missing prediction cannot run.
     """
+    rows = staged(predictions.withColumn("pair_id", F.monotonically_increasing_id()), "scored")
     judged = score_pairs(
-        predictions.select(
-            F.col("line_no").alias("pair_id"),
+        rows.select(
+            "pair_id",
             F.col("line_no").alias("seed"),
             sqltext.extract_schema(F.col("question")).alias("schema"),
             "gold",
-            F.col("prediction").alias("candidate"),
+            F.coalesce("prediction", F.lit("")).alias("candidate"),
         )
     )
-    return predictions.join(judged.withColumnRenamed("pair_id", "line_no"), "line_no")
+    return rows.join(judged, "pair_id").drop("pair_id")
 
 
 def mine_preferences(
@@ -67,9 +72,8 @@ def mine_preferences(
     """
     texts = samples.select("prompt_id", "sample_ix", sqltext.extract_sql(F.col("response")).alias("candidate"))
     distinct = staged(
-        pairs.distinct_candidates(texts).withColumn(
-            "pair_id", F.xxhash64("prompt_id", "candidate")
-        ),
+        # The table is written once, so the numbers stay; no hash stands for a text.
+        pairs.distinct_candidates(texts).withColumn("pair_id", F.monotonically_increasing_id()),
         "candidates",
     )
     asked = prompts.withColumn("prompt", render.prompt_text(F.col("context"), F.col("question")))
@@ -112,13 +116,65 @@ def screen_prompts(prompts: DataFrame) -> DataFrame:
     return prompts.join(kept, "db_seed", "left_semi")
 
 
-def band_prompts(pair_files: list[DataFrame], rows: DataFrame) -> DataFrame:
+def rl_prompts(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Prompts for sampling from split rows, screened by their own gold query.
+
+    ``rows``: ``split_ix`` (the seed of the databases), ``context``, ``question``, ``answer``.
+    The observation has ``kept`` and ``dropped`` once the prompts were written or collected.
+    """
+    text = render.prompt_text(F.col("context"), F.col("question"))
+    prompts = rows.select(
+        render.user_turn(text).alias("prompt"),
+        F.col("answer").alias("gold"),
+        text.alias("user_content"),
+        F.col("split_ix").cast("int").alias("db_seed"),
+    )
+    kept = screen_prompts(prompts).select("db_seed", F.lit(True).alias("_kept"))
+    seen = Observation()
+    marked = prompts.join(kept, "db_seed", "left").observe(
+        seen, F.count("_kept").alias("kept"), F.count_if(F.isnull("_kept")).alias("dropped")
+    )
+    return marked.filter("_kept").select(*prompts.columns), seen
+
+
+def live_band(prompts: DataFrame, samples: DataFrame) -> DataFrame:
+    """Prompts of which some sampled answers match and some do not.
+
+    ``prompts``: ``prompt_id``, ``user_content``, ``gold``, ``db_seed``. ``samples``:
+    ``prompt_id``, ``sample_ix``, ``response``. Adds ``wins`` and ``group_size``.
+    """
+    texts = samples.select("prompt_id", "sample_ix", sqltext.extract_sql(F.col("response")).alias("candidate"))
+    distinct = staged(
+        pairs.distinct_candidates(texts).withColumn("pair_id", F.monotonically_increasing_id()), "candidates"
+    )
+    judged = score_pairs(
+        distinct.join(prompts, "prompt_id").select(
+            "pair_id",
+            F.col("db_seed").cast("bigint").alias("seed"),
+            sqltext.extract_schema(F.col("user_content")).alias("schema"),
+            "gold",
+            "candidate",
+        )
+    )
+    won = F.when(F.col("verdict") == "match", F.col("copies")).otherwise(F.lit(0))
+    groups = distinct.join(judged, "pair_id").groupBy("prompt_id").agg(
+        F.sum(won).alias("wins"), F.sum("copies").alias("group_size")
+    )
+    return prompts.join(groups.filter("wins > 0 AND wins < group_size"), "prompt_id")
+
+
+def band_prompts(pair_files: list[DataFrame], rows: DataFrame) -> tuple[DataFrame, Observation]:
     """Prompts of pair files that are in the slice, mined ones only if any is tagged.
 
-    The lookup's result is read twice, for the tag and for the rows, so it is staged.
+    The lookup's result is read twice, for the tag and for the rows, so it is staged. The
+    observation has the counts ``matched`` and ``unmatched``.
     """
-    found = band.band_lookup(pairs.union_files(pair_files), rows)
-    return band.band_source_filter(staged(found.filter("matched"), "band")).drop("matched")
+    seen = Observation()
+    found = band.band_lookup(pairs.union_files(pair_files), rows).observe(
+        seen, F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched")
+    )
+    staged_rows = staged(found, "band").filter("matched")
+    return band.band_source_filter(staged_rows).drop("matched"), seen
 
 
 def reward_completions(completions: DataFrame) -> DataFrame:

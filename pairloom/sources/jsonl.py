@@ -39,7 +39,8 @@ def _write_counted(df: DataFrame, path: str, mode: str, partition_by: tuple[str,
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
-        out = out.partitionBy(*partition_by)
+        # Only the folders that get rows are replaced: other models' stay.
+        out = out.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     out.json(path)
     return seen.get["rows"]
 

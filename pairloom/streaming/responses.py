@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.chats import score_responses
 from ..records import PREDICTION
-from ..staging import new_stage
 
 RESPONSE = T.StructType([f for f in PREDICTION.fields if f.name not in ("prediction", "match")])
 
@@ -28,14 +27,16 @@ def write_predictions(
 ) -> StreamingQuery:
     """Score the stream and append prediction rows, one folder per model.
 
-    The file sink commits each batch once. ``once`` handles what is there and stops.
+    The checkpoint belongs to the sink, beside it by default, so a second start goes on
+    where the first one ended and each row is written once. ``once`` handles what is there
+    and stops.
     """
     writer = (
         score_responses(responses)
         .select(*PREDICTION.fieldNames())
         .writeStream.format("json")
         .partitionBy("model")
-        .option("checkpointLocation", checkpoint or new_stage(responses.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint or f"{path.rstrip('/')}.checkpoint")
         .outputMode("append")
     )
     return (writer.trigger(availableNow=True) if once else writer).start(path)

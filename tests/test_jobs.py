@@ -82,8 +82,9 @@ def test_mining_to_band(spark, rows):
     assert jobs.load_pair_files(spark, [path, path]).count() == 3
 
     slice_rows = prompts.select(render.prompt_text(F.col("context"), F.col("question")).alias("prompt_text"), "gold", F.col("prompt_id").alias("db_seed"))
-    found = jobs.band_prompts(jsonl.read_pairs(spark, [path]), slice_rows)
+    found, seen = jobs.band_prompts(jsonl.read_pairs(spark, [path]), slice_rows.filter("db_seed != 2"))
     assert sorted(r["db_seed"] for r in found.collect()) == [0, 3]
+    assert seen.get == {"matched": 2, "unmatched": 1}
 
 
 def test_screening_and_rewards(spark, rows):
@@ -115,7 +116,74 @@ def test_stream_equals_batch(spark, sf):
     assert got.exceptAll(want).isEmpty() and got.count() == want.count()
 
 
-def test_long_conversations_continue_in_parts(spark):
-    turns = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
-    got = chats.turns_to_chat(turns, turns_per_record=10).orderBy("part").collect()
-    assert [[m["content"] for m in r["messages"]] for r in got] == [[str(i) for i in range(k, min(k + 10, 25))] for k in (0, 10, 20)]
+def test_a_second_start_of_the_stream_goes_on(spark, sf):
+    from driver_queries import tables
+
+    rows = tables.responses(spark, sf)
+    source, sink = new_stage(spark, "arriving"), new_stage(spark, "scored")
+    for part in (rows.filter("line_no % 2 = 0"), rows.filter("line_no % 2 = 1")):
+        part.coalesce(1).write.mode("append").json(source)
+        query = stream.write_predictions(stream.read_responses(spark, source), sink)
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert jsonl.read_predictions(spark, sink).count() == rows.count()
+
+
+def test_a_missing_response_is_a_miss(spark, rows):
+    examples = chats.to_chat(rows.filter("row_id < 3")).withColumnRenamed("row_id", "line_no")
+    answers = spark.createDataFrame([(1, "SELECT a FROM t WHERE b = 'x'")], "line_no bigint, raw_response string")
+    predictions = jobs.evaluate_responses(examples, answers, "m")
+    assert {r["line_no"]: r["match"] for r in predictions.collect()} == {0: False, 1: True, 2: False}
+    assert metrics.exact_match_accuracy(predictions).first()["accuracy"] == pytest.approx(1 / 3)
+
+
+def test_models_are_written_and_scored_side_by_side(spark, rows):
+    examples = chats.to_chat(rows.filter("row_id < 2")).withColumnRenamed("row_id", "line_no")
+    path = new_stage(spark, "predictions")
+    for model, text in (("a", "SELECT a FROM t WHERE b = 'x'"), ("b", "SELECT b FROM t")):
+        answers = spark.createDataFrame([(k, text) for k in (0, 1)], "line_no bigint, raw_response string")
+        jsonl.write_predictions(jobs.evaluate_responses(examples, answers, model), path)
+    judged = jobs.score_predictions(jsonl.read_predictions(spark, path)).collect()
+    assert sorted((r["model"], r["line_no"], r["verdict"]) for r in judged) == [
+        ("a", 0, "match"), ("a", 1, "match"), ("b", 0, "mismatch"), ("b", 1, "mismatch")]
+
+
+def test_rl_prompts_are_screened_and_counted(spark, rows):
+    split = rows.filter("row_id < 3").select(
+        F.col("row_id").alias("split_ix"), "context", "question",
+        F.when(F.col("row_id") == 1, "SELECT nope FROM t").otherwise(F.col("answer")).alias("answer"))
+    prompts, seen = jobs.rl_prompts(split)
+    assert sorted(r["db_seed"] for r in prompts.collect()) == [0, 2]
+    assert seen.get == {"kept": 2, "dropped": 1}
+
+
+def test_live_band_keeps_mixed_groups(spark, rows):
+    right, wrong = "SELECT a FROM t WHERE b = 'x'", "SELECT b FROM t"
+    prompts = rows.filter("row_id < 3").select(
+        F.col("row_id").alias("prompt_id"), render.prompt_text(F.col("context"), F.col("question")).alias("user_content"),
+        F.col("answer").alias("gold"), F.col("row_id").cast("int").alias("db_seed"))
+    sampled = {0: [right, wrong, wrong], 1: [right, right], 2: [wrong]}
+    samples = spark.createDataFrame(
+        [(p, i, s) for p, ss in sampled.items() for i, s in enumerate(ss)], "prompt_id bigint, sample_ix int, response string")
+    got = jobs.live_band(prompts, samples).collect()
+    assert [(r["prompt_id"], r["wins"], r["group_size"]) for r in got] == [(0, 1, 3)]
+
+
+def test_a_long_conversation_stays_whole(spark):
+    role = F.when(F.col("id") % 2 == 1, "assistant").otherwise("user")
+    turns = spark.range(1030).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.col("id").cast("string").alias("text"))
+    (record,) = chats.turns_to_chat(turns).collect()
+    assert [m["content"] for m in record["messages"]] == [str(k) for k in range(1030)]
+    prompts, answers = chats.split_turns(turns)
+    assert [tuple(r) for r in answers.select("gold", "question", "prompt_turns").collect()] == [("1029", "1028", 1029)]
+    assert prompts.count() == 1029
+
+
+def test_turn_spans_equal_the_spans_of_the_text(spark):
+    talk = [("system", "s"), ("user", "hi"), ("assistant", "yo"), ("system", "note"), ("assistant", ""), ("assistant", "ok"), ("tool", "x"), ("user", "u"), ("assistant", "end")]
+    rows = [(c, k, r, t + str(c)) for c in range(3) for k, (r, t) in enumerate(talk[: 9 - 2 * c])]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    text = render.render_turns(F.col("messages"))
+    want = chats.turns_to_chat(turns).select("conv_id", F.inline(render.response_spans(text))).collect()
+    got = chats.turn_spans(turns).select("conv_id", "start", "end").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))

@@ -18,7 +18,7 @@ def final_plan(df):
 BUILT_BY_RUNNING = {"score_pairs"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - BUILT_BY_RUNNING))
+@pytest.mark.parametrize("name", sorted(set(entry.QUERIES) - BUILT_BY_RUNNING))
 def test_no_cross_join_no_python(spark, sf, name):
     plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
@@ -64,16 +64,20 @@ def test_hot_prompt_is_dealt_over_tasks(spark, skewed):
 
 
 def test_running_accuracy_spreads_one_model(spark):
-    """One model holds every row, yet no window sees more than a bucket of them."""
+    """One model holds every row under hashed line numbers, yet no bucket holds many."""
     df = spark.range(0, 50_000, 1, 8).select(
-        F.lit("only").alias("model"), F.col("id").alias("line_no"), (F.col("id") % 3 == 0).alias("match")
+        F.lit("only").alias("model"), F.xxhash64("id").alias("line_no"), (F.col("id") % 3 == 0).alias("match")
     )
-    totals = positions.running_totals(df, ["model"], "line_no", {"correct": F.col("match").cast("int")}, width=1000)
-    plan = final_plan(totals)
-    by_model = [p for p in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if p.startswith("model") and "_" not in p]
-    assert len(by_model) <= 1  # the chunk totals alone
+    values = {"correct": F.col("match").cast("int")}
+    totals = positions.running_totals(df, ["model"], "line_no", values, buckets=25)
     last = totals.orderBy(F.desc("position")).first()
     assert (last["position"], last["correct"]) == (50_000, 16_667)
+    assert totals.orderBy("line_no").limit(3).agg(F.max("position")).first()[0] == 3
+    ranged = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in ranged
+    staged_rows = totals.sparkSession.read.parquet(totals.inputFiles()[0].rsplit("/", 1)[0])
+    sizes = [r["count"] for r in staged_rows.groupBy("_bucket").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 5000
     assert metrics.running_accuracy(df).count() == 5000
 
 

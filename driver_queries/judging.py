@@ -201,10 +201,17 @@ def text_pairs(spark, sf):
             out = F.when(F.col("o_orderpriority") == priority, filled).otherwise(out)
         return out
 
+    # Half of the open orders have a schema that cannot be built.
+    status = F.col("o_orderstatus")
+    schema = (
+        F.when((status == "O") & (F.col("o_orderkey") % 2 == 0), t.SCHEMAS["O"])
+        .when(status == "P", t.SCHEMAS["P"])
+        .otherwise(t.ORDERS)
+    )
     return t.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("pair_id"),
         F.col("o_orderkey").alias("seed"),
-        F.lit(t.ORDERS).alias("schema"),
+        schema.alias("schema"),
         by_priority(0).alias("gold"),
         by_priority(1).alias("candidate"),
     )
@@ -220,16 +227,18 @@ def _score_sql() -> str:
         )
         return f"CASE o_orderpriority {arms} END"
 
-    source = f"""instructions AS (SELECT o_orderkey AS row_id, '{t.ORDERS}' AS context, {case(0)} AS answer,
+    context = f"""CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN '{t.SCHEMAS["O"]}'
+      WHEN o_orderstatus = 'P' THEN '{t.SCHEMAS["P"]}' ELSE '{t.ORDERS}' END"""
+    source = f"""instructions AS (SELECT o_orderkey AS row_id, {context} AS context, {case(0)} AS answer,
       {case(1)} AS candidate FROM orders)"""
     facts = FACTS_SQL.replace(t.INSTRUCTIONS, source)
     # The five kinds of texts by hand: filters and aggregates per order and database.
     return f"""WITH {facts}, {PLAN_SQL}, {ROWS_SQL}, wide AS (
   SELECT row_id, db_ix, row_ix, TRY_CAST(max(cell) FILTER (WHERE col_ix = 0) AS BIGINT) AS k,
     max(cell) FILTER (WHERE col_ix = 1) AS s, TRY_CAST(max(cell) FILTER (WHERE col_ix = 2) AS DOUBLE) AS p
-  FROM cells GROUP BY ALL
+  FROM cells WHERE table_name = 'orders' GROUP BY ALL
 ), checks AS (
-  SELECT o_orderkey AS pair_id, db_ix, CASE o_orderpriority
+  SELECT o_orderkey AS pair_id, db_ix, bool_or(o_orderstatus = 'O' AND o_orderkey % 2 = 0) AS unbuilt, CASE o_orderpriority
       WHEN '1-URGENT' THEN count(*) FILTER (WHERE s = o_orderstatus AND p > 3 AND NOT p >= 4) = 0
       WHEN '2-HIGH' THEN count(*) FILTER (WHERE s = o_orderstatus) = count(k) FILTER (WHERE s = o_orderstatus AND k > 1)
       WHEN '3-MEDIUM' THEN count(*) FILTER (WHERE s = o_orderstatus) > 0
@@ -239,7 +248,7 @@ def _score_sql() -> str:
       WHEN '2-HIGH' THEN true WHEN '3-MEDIUM' THEN count(p) FILTER (WHERE s = o_orderstatus) > 0
       WHEN '4-NOT SPECIFIED' THEN count(s) FILTER (WHERE k > 5) > 0 ELSE false END AS live
   FROM orders JOIN wide ON row_id = o_orderkey GROUP BY o_orderkey, db_ix, o_orderpriority, o_orderstatus)
-SELECT pair_id, CASE WHEN NOT bool_and(equal) THEN 'mismatch' WHEN bool_or(live) THEN 'match'
+SELECT pair_id, CASE WHEN bool_or(unbuilt) THEN 'gold_error' WHEN NOT bool_and(equal) THEN 'mismatch' WHEN bool_or(live) THEN 'match'
     ELSE 'non_discriminative' END AS verdict FROM checks GROUP BY pair_id"""
 
 

@@ -141,13 +141,33 @@ SCORED = [
 
 def test_score_pairs(spark):
     rows = [(i, SCHEMA, g, c, i) for i, (g, c, _) in enumerate(SCORED)]
+    cut = ("CREATE TABLE t (a INTEGER, b VARCHAR(20))", "CREATE TABLE t (b DECIMAL(10,2), a INTEGER)")
+    rows += [(102 + k, schema, "SELECT a FROM t", "SELECT a FROM t", 0) for k, schema in enumerate(cut)]
     rows += [(100, "no schema", "SELECT 1", "SELECT 1", 0), (101, "CREATE TABLE t (a INT, A TEXT)", "SELECT 1", "SELECT 1", 0)]
     pairs = spark.createDataFrame(rows, "pair_id bigint, schema string, gold string, candidate string, seed bigint")
     got = {r["pair_id"]: r["verdict"] for r in scoring.score_pairs(pairs).collect()}
-    want = {i: v for i, (_, _, v) in enumerate(SCORED)} | {100: "gold_error", 101: "gold_error"}
+    want = {i: v for i, (_, _, v) in enumerate(SCORED)} | dict.fromkeys((100, 101, 102, 103), "gold_error")
     assert got == want
 
 
+def test_a_failed_write_is_no_verdict(spark, monkeypatch, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    monkeypatch.setattr(scoring, "new_stage", lambda spark, name: f"{blocked}/{name}")
+    pairs = spark.createDataFrame([(1, SCHEMA, "SELECT a FROM t", "SELECT a FROM t", 0)], "pair_id bigint, schema string, gold string, candidate string, seed bigint")
+    with pytest.raises(Exception) as raised:
+        scoring.score_pairs(pairs).collect()
+    assert not execute.is_query_error(raised.value)
+
+
+def test_errors_of_the_rows_are_the_querys_own(spark):
+    for sql in ("SELECT 1 / id FROM range(3)", "SELECT cast('x' AS int)", "SELECT (SELECT id FROM range(3))"):
+        with pytest.raises(Exception) as raised:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+            spark.sql(sql).collect()
+        assert execute.is_query_error(raised.value)
+
+
 def facts(spark, n, partitions):
     df = spark.range(n).select(
         "id", F.col("id").alias("seed"), F.lit(SCHEMA).alias("schema"),

@@ -87,9 +87,9 @@ def group_advantage(rewards: DataFrame, scale_by_std: bool = False) -> DataFrame
     The mean is joined back rather than taken over a window, which would put a very
     large group in one task. Rows of such a group are dealt out by ``sample_ix``.
     """
-    stats = group_reward_stats(rewards).select("prompt_id", "mean_reward", "std_reward")
+    stats = group_reward_stats(rewards).select("prompt_id", "group_size", "mean_reward", "std_reward")
     centred = F.col("reward") - F.col("mean_reward")
     if scale_by_std:
         centred = F.when(F.col("std_reward") > 0, centred / F.col("std_reward")).otherwise(F.lit(0.0))
-    joined = salted_join(rewards, stats, ["prompt_id"], "sample_ix")
+    joined = salted_join(rewards, stats, ["prompt_id"], "sample_ix", size="group_size")
     return joined.select(*rewards.columns, centred.alias("advantage"))

@@ -29,7 +29,7 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     """Every turn with its 1-based ``position`` and the ``n_turns`` of its conversation."""
     narrow = running_totals(turns.select("conv_id", "turn"), ["conv_id"], "turn", {})
     counts = turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
-    placed = salted_join(narrow, counts, ["conv_id"], "turn")
+    placed = salted_join(narrow, counts, ["conv_id"], "turn", size="n_turns")
     return turns.join(placed, ["conv_id", "turn"])
 
 
@@ -46,7 +46,7 @@ def split_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     asked = placed.filter(F.col("position") == F.col("n_turns") - 1).select("conv_id", F.col("text").alias("question"))
     answers = gold.join(asked, "conv_id")
     rest = placed.filter(F.col("position") < F.col("n_turns"))
-    prompts = salted_join(rest, gold.select("conv_id", "prompt_turns"), ["conv_id"], "turn")
+    prompts = salted_join(rest, gold.select("conv_id", "prompt_turns"), ["conv_id"], "turn", size="prompt_turns")
     return prompts.select("conv_id", "turn", "role", "text"), answers
 
 
@@ -67,7 +67,7 @@ def turn_spans(turns: DataFrame) -> DataFrame:
         "turn",
         {"until": F.col("width"), "segment": F.col("known").cast("int")},
     )
-    lengths = turns.groupBy("conv_id").agg(F.sum(width).alias("all_chars"))
+    lengths = turns.groupBy("conv_id").agg(F.sum(width).alias("all_chars"), F.count("*").alias("n_turns"))
     open_chars = len(render.RESPONSE_MARKER)
     start = F.when(F.col("role") == "assistant", F.col("until") - F.col("width") + open_chars)
     # A segment is a user's or assistant's turn and the other turns behind it.
@@ -77,7 +77,7 @@ def turn_spans(turns: DataFrame) -> DataFrame:
         .agg(F.max(start).alias("start"), F.max(F.when(F.col("known"), F.col("turn"))).alias("turn"), F.max("until").alias("end"))
         .filter("start IS NOT NULL")
     )
-    spans = salted_join(segments, lengths, ["conv_id"], "segment")
+    spans = salted_join(segments, lengths, ["conv_id"], "segment", size="n_turns")
     # The last turn has no line break behind it.
     return spans.select("conv_id", "turn", "start", F.least("end", F.col("all_chars") - 1).alias("end")).filter("end > start")
 

@@ -29,10 +29,13 @@ def label_candidates(samples: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Every sample, copies included, with the verdict of its text.
 
     ``verdicts`` has one row per (prompt_id, candidate). A text that fills much of a
-    very large prompt is dealt over several tasks.
+    very large prompt is dealt over several tasks; ``copies``, if it is there, tells which.
     """
-    judged = verdicts.select("prompt_id", "candidate", "verdict")
-    return salted_join(samples, judged, ["prompt_id", "candidate"], "sample_ix")
+    size = "copies" if "copies" in verdicts.columns else None
+    judged = verdicts.select("prompt_id", "candidate", "verdict", *([size] if size else []))
+    return salted_join(samples, judged, ["prompt_id", "candidate"], "sample_ix", size=size).select(
+        *samples.columns, "verdict"
+    )
 
 
 def prompt_outcomes(distinct: DataFrame) -> DataFrame:

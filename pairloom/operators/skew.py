@@ -18,20 +18,25 @@ def salted_join(
     keys: list[str],
     deal_by: str,
     rows_per_task: int = ROWS_PER_TASK,
+    size: str | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``partners``, which has one row per key.
 
     ``deal_by`` differs between the rows of a key. Hot keys are those with more than
     ``rows_per_task`` rows, so there is at most one for each ``rows_per_task`` rows
     of the whole table: their list, a hash and a number each, stays small enough to
-    broadcast (16 MB for a million million rows).
+    broadcast (16 MB for a million million rows). ``size`` names a column of
+    ``partners`` with the number of rows of its key; without it the rows are counted.
     """
     key_hash = F.xxhash64(*keys)
-    counted = rows.select(key_hash.alias("_h")).groupBy("_h").agg(F.count("*").alias("_rows"))
+    if size:
+        counted = partners.select(key_hash.alias("_h"), F.col(size).alias("_rows"))
+    else:
+        counted = rows.select(key_hash.alias("_h")).groupBy("_h").agg(F.count("*").alias("_rows"))
     hot = F.broadcast(
-        counted.filter(F.col("_rows") > rows_per_task).select(
-            "_h", F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_ways")
-        )
+        counted.filter(F.col("_rows") > rows_per_task)
+        .groupBy("_h")
+        .agg(F.max(F.ceil(F.col("_rows") / rows_per_task)).cast("int").alias("_ways"))
     )
     ways = F.coalesce("_ways", F.lit(1))
     dealt = rows.withColumn("_h", key_hash).join(hot, "_h", "left").select(

@@ -113,7 +113,8 @@ def test_one_plan_equals_a_plan_per_database(spark, keyed, sql):
 
 @pytest.mark.parametrize(
     "sql",
-    ["DROP TABLE t", "", "SELECT 1; SELECT 2", "SELECT 1 -- x", "SELECT reflect('java.lang.System', 'exit', 1)",
+    ["DROP TABLE t", "", "SELECT 1; SELECT 2", "SELECT a FROM t /* open", "SELECT a FROM t, (SELECT 1) x, secret",
+     "SELECT a FROM t WHERE a IN (SELECT 1 FROM secret)", "WITH z AS (SELECT * FROM secret) SELECT * FROM z", "SELECT reflect('java.lang.System', 'exit', 1)",
      "SELECT `reflect` ('a')", "SELECT * FROM range(10)", "SELECT * FROM other", "SELECT t.a FROM t, other WHERE t.a = 1", "SELECT x.a FROM t AS x JOIN other ON x.a = 1", "SELECT * FROM parquet.`/etc`",
      "SELECT a FROM t) q_, LATERAL (SELECT 1", "INSERT INTO t VALUES (1)"],
 )
@@ -123,6 +124,22 @@ def test_unsafe_texts_do_not_run(spark, keyed, sql):
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
+@pytest.mark.parametrize(
+    "sql,same",
+    [
+        ("SELECT a FROM t -- all of it", "SELECT a FROM t"),
+        ("SELECT \"a\" FROM t WHERE b = \"1\"", "SELECT a FROM t WHERE b = '1'"),
+        ("SELECT trim(BOTH ' ' FROM b) AS b FROM t", "SELECT trim(b) AS b FROM t"),
+        ("SELECT b, n FROM (SELECT b, row_number() OVER (PARTITION BY b ORDER BY a) AS n FROM t) x WHERE n = 1", "SELECT DISTINCT b, 1 AS n FROM t"),
+        ("SELECT a FROM t WHERE b = 'outer(x)' OR a > 3", "SELECT a FROM t WHERE a > 3"),
+    ],
+)
+def test_texts_that_run(spark, keyed, sql, same):
+    dbs = spark.range(8).selectExpr("id AS db_ix")
+    rows = lambda text: sorted((r["db_ix"], r["row_key"]) for r in execute.plan_text(spark, text, dbs, keyed).collect())
+    assert rows(sql) == rows(same)
+
+
 SCHEMA = "CREATE TABLE t (a INTEGER, b VARCHAR, c REAL) CREATE TABLE u (k INTEGER, d VARCHAR)"
 SCORED = [
     ("SELECT a FROM t WHERE a > 3", "SELECT a FROM t WHERE a >= 4", "match"),

@@ -130,8 +130,13 @@ SPACES_SQL = " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 28, 29, 30, 31
 WS_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{2028}\x{2029}\x{3000}]"
 
 
+# ---- fixed values: the fence pattern ----
+FENCE_RE = rf"(?is)```(?:sql)?{WS_CLASS}*(.+?)```"
+# ---- end of fixed values ----
+
+
 def extract_sql_sql(col: str) -> str:
-    fenced = rf"regexp_extract({col}, '(?is)```(?:sql)?{WS_CLASS}*(.+?)```', 1)"
+    fenced = f"regexp_extract({col}, '{FENCE_RE}', 1)"
     return f"trim(coalesce(nullif({fenced}, ''), {col}), {SPACES_SQL})"
 
 

@@ -33,10 +33,16 @@ def extract_schema(spark, sf):
     )
 
 
+# ---- fixed values: the patterns of the schema and literal readers, for RE2 in SQL strings ----
+TABLE_RE = r"(?is)CREATE TABLE\s+(\S+)\s*\((.*?)\)"
+COMPARISON_RE = r"""(?i)(\w+)\s*(>=|<=|!=|=|>|<|LIKE)\s*("[^"]*"|''[^'']*''|-?[\d.]+)"""
+NUMERIC_RE = "INT|REAL|NUMERIC|DECIMAL|FLOAT"
+# ---- end of fixed values ----
+
 TABLES_SQL = rf"""found AS (
-  SELECT row_id, unnest(regexp_extract_all(context, '(?is)CREATE TABLE\s+(\S+)\s*\((.*?)\)', 1)) AS table_name,
-    unnest(regexp_extract_all(context, '(?is)CREATE TABLE\s+(\S+)\s*\((.*?)\)', 2)) AS body,
-    generate_subscripts(regexp_extract_all(context, '(?is)CREATE TABLE\s+(\S+)\s*\((.*?)\)', 1), 1) AS ix
+  SELECT row_id, unnest(regexp_extract_all(context, '{TABLE_RE}', 1)) AS table_name,
+    unnest(regexp_extract_all(context, '{TABLE_RE}', 2)) AS body,
+    generate_subscripts(regexp_extract_all(context, '{TABLE_RE}', 1), 1) AS ix
   FROM instructions
 ), kept AS (
   SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY row_id, table_name ORDER BY ix DESC) = 1
@@ -49,7 +55,7 @@ TABLES_SQL = rf"""found AS (
     words[1] AS col, upper(words[2]) AS type
   FROM (SELECT *, regexp_split_to_array(trim(def), '\s+') AS words FROM defs)
   WHERE len(words) >= 2)"""
-NUMERIC_SQL = "regexp_matches(type, 'INT|REAL|NUMERIC|DECIMAL|FLOAT')"
+NUMERIC_SQL = f"regexp_matches(type, '{NUMERIC_RE}')"
 
 
 def _columns(spark, sf):
@@ -75,15 +81,12 @@ def is_numeric_type(spark, sf):
     return _columns(spark, sf).groupBy("type", kind).agg(F.count("*").alias("n"))
 
 
-_CMP = r"""(?i)(\w+)\s*(>=|<=|!=|=|>|<|LIKE)\s*("[^"]*"|''[^'']*''|-?[\d.]+)"""
-
-
 def literals_sql(name: str, texts: list[str]) -> str:
     """CTEs ``<name>_lits`` and ``<name>`` (row_id, col, first, pool) over text columns."""
     parts = " UNION ALL ".join(
-        f"""SELECT row_id, {i} AS side, unnest(regexp_extract_all({c}, '{_CMP}', 1)) AS c,
-    unnest(regexp_extract_all({c}, '{_CMP}', 3)) AS v,
-    generate_subscripts(regexp_extract_all({c}, '{_CMP}', 1), 1) AS ix FROM instructions"""
+        f"""SELECT row_id, {i} AS side, unnest(regexp_extract_all({c}, '{COMPARISON_RE}', 1)) AS c,
+    unnest(regexp_extract_all({c}, '{COMPARISON_RE}', 3)) AS v,
+    generate_subscripts(regexp_extract_all({c}, '{COMPARISON_RE}', 1), 1) AS ix FROM instructions"""
         for i, c in enumerate(texts)
     )
     return f"""{name}_lits AS (

@@ -6,15 +6,15 @@ or not. Earlier is by doc_id, then (for rows with equal ids) a hash of the text,
 line number.
 
 1. Lines with equal sets are merged, their first place kept (partial aggregates).
-2. The words of a set are ordered by rarity: by the count of their hash bucket over the
-   whole corpus (a table of fixed size), then by hash. Matching sets share a word within
+2. The words of a set are ordered by rarity: by the documents of their hash bucket in
+   the whole corpus (a table of fixed size), then by hash. Matching sets share a word within
    their prefixes of ``n - ceil(0.8 n) + 1`` words.
-3. Star round: a set is paired with the first set of its size that shares one of its last
-   two prefix words. This settles the many members of a group of near copies with one
-   pair each.
+3. Star round: where many sets of a size share one of their last prefix words, each is
+   paired with a few first ones. This settles the members of a group of near copies
+   with a few pairs each.
 4. Full round: sets that are not settled meet every set that shares a prefix word, under
    the length filter, the positional filter and a bitmap filter (words in one set only
-   flip bits, so 64 parities bound their number from below).
+   flip bits, so 128 parities bound their number from below).
 5. Pairs that pass are verified on the words of the lines themselves.
 
 Words are runs of other than white space, in lower case. Lines without words match
@@ -35,28 +35,38 @@ PART, WHOLE = 4, 5
 BUCKETS = 1 << 16
 SPACE = r" \t\x0B\f\r"
 PLACE = ["doc_id", "digest", "line_no"]
+#: The star round's words of a set, and its first sets of a group.
+STAR_WORDS, HEADS = 4, 4
+#: Parities of the words by six bits of their keys, in two words by a seventh.
+BITMAPS = {"low": "1L - ((k >> 6) & 1)", "high": "(k >> 6) & 1"}
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, digest, line_no, words (with repeats): a row for each line that has words."""
-    lines = docs.select(
+    """doc_id, digest, line_no, line: a row for each line."""
+    return docs.select(
         F.col(id_col).alias("doc_id"),
         F.xxhash64(text_col).alias("digest"),
         F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"),
     )
+
+
+def _worded(lines: DataFrame) -> DataFrame:
+    """The lines that have words, with ``words`` (repeats included) in place of ``line``."""
+    rest = [c for c in lines.columns if c != "line"]
     clean = F.expr(r"btrim(lower(line), ' \t\u000B\f\r')")
     return (
-        lines.select("doc_id", "digest", "line_no", clean.alias("clean"))
+        lines.select(*rest, clean.alias("clean"))
         .filter("clean != ''")
-        .select(*PLACE, F.split("clean", rf"[{SPACE}]+").alias("words"))
+        .select(*rest, F.split("clean", rf"[{SPACE}]+").alias("words"))
     )
 
 
-def _rarity(lines: DataFrame) -> DataFrame:
-    """One row with an array: the class of each bucket, from rare to frequent."""
-    bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
-    counts = lines.select(F.explode("words").alias("word")).select(bucket.alias("bucket")).groupBy("bucket").count()
-    every = lines.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("bigint").alias("count"))
+def _rarity(docs: DataFrame, text_col: str) -> DataFrame:
+    """One row with an array: the class of each bucket by its documents, from rare to frequent."""
+    words = F.split(F.lower(text_col), rf"[\n{SPACE}]+")
+    held = F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS))))
+    counts = docs.select(F.explode(held).alias("bucket")).groupBy("bucket").count()
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("bigint").alias("count"))
     classes = (
         counts.unionByName(every)
         .groupBy("bucket")
@@ -83,18 +93,22 @@ def _sets(lines: DataFrame, rarity: DataFrame) -> DataFrame:
             F.xxhash64(F.lit(7), "keys").alias("k2"),
             F.struct(*PLACE).alias("place"),
             F.size("keys").alias("n"),
-            F.expr(
-                "aggregate(keys, 0L, (b, k) -> b ^ shiftleft(1L, cast(k & 63 as int)))"
-            ).alias("bitmap"),
+            *(
+                F.expr(f"aggregate(keys, 0L, (b, k) -> b ^ shiftleft({bit}, cast(k & 63 as int)))").alias(name)
+                for name, bit in BITMAPS.items()
+            ),
             F.expr(f"slice(keys, 1, size(keys) - ({PART} * size(keys) + {WHOLE - 1}) div {WHOLE} + 1)").alias("prefix"),
         )
     )
     # All but the place follow from the set.
     sets = keyed.groupBy("k1", "k2").agg(
-        F.min("place").alias("place"), F.min("n").alias("n"), F.min("bitmap").alias("bitmap"), F.first("prefix").alias("prefix")
+        F.min("place").alias("place"),
+        F.min("n").alias("n"),
+        *(F.min(b).alias(b) for b in BITMAPS),
+        F.first("prefix").alias("prefix"),
     )
     return staged(
-        sets.select(F.monotonically_increasing_id().alias("lid"), "place.*", "n", "bitmap", "prefix"), "sets"
+        sets.select(F.monotonically_increasing_id().alias("lid"), "place.*", "n", *BITMAPS, "prefix"), "sets"
     )
 
 
@@ -107,22 +121,30 @@ def _may_match(a: str, b: str) -> str:
     """SQL: the length and bitmap filters."""
     return (
         f"{WHOLE} * {a}.n >= {PART} * {b}.n AND {WHOLE} * {b}.n >= {PART} * {a}.n"
-        f" AND bit_count({a}.bitmap ^ {b}.bitmap) <= {a}.n + {b}.n - 2 * {_need(f'{a}.n', f'{b}.n')}"
+        f" AND {' + '.join(f'bit_count({a}.{m} ^ {b}.{m})' for m in BITMAPS)}"
+        f" <= {a}.n + {b}.n - 2 * {_need(f'{a}.n', f'{b}.n')}"
     )
 
 
 def _star_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): b and the first set a that has b's size and one of its last two prefix words."""
-    rows = sets.select(
-        "lid", F.struct(*PLACE).alias("place"), "n", "bitmap", F.explode(F.expr("slice(prefix, -least(2, size(prefix)), 2)")).alias("word")
-    ).filter(f"n >= {WHOLE - 1}")  # smaller sets match equal ones only
-    first = F.min(F.struct("place", "lid", "bitmap", "n"))
-    heads = staged(
-        rows.groupBy("word", F.col("n").alias("size")).agg(first.alias("h"), F.count("*").alias("c")).filter("c > 1").drop("c"),
-        "heads",
+    """(a, b): in large groups of sets of one size that share a word, b and some first sets a.
+
+    The words are the last of the prefixes, which near copies of a line have in common.
+    Each group has ``HEADS`` first sets, one for each remainder of the set numbers.
+    """
+    rows = sets.filter(f"n >= {WHOLE - 1}").select(  # smaller sets match equal ones only
+        "lid", "n", F.explode(F.expr(f"slice(prefix, -least({STAR_WORDS}, size(prefix)), {STAR_WORDS})")).alias("word")
     )
-    met = rows.alias("r").join(heads.alias("g"), F.expr("r.word = g.word AND r.n = g.size AND r.lid != g.h.lid"))
-    return met.filter(_may_match("r", "g.h")).select(F.col("h.lid").alias("a"), F.col("r.lid").alias("b")).distinct()
+    large = staged(rows.groupBy("word", "n").count().filter(f"count >= {2 * HEADS}").select("word", "n"), "large")
+    members = rows.join(small(large, 32), ["word", "n"])
+    facts = sets.select("lid", F.struct(*PLACE).alias("place"), *BITMAPS)
+    members = staged(members.join(facts, "lid"), "members")
+    first = F.min(F.struct("place", "lid", "n", *BITMAPS)).alias("h")
+    heads = staged(members.groupBy("word", "n", F.pmod("lid", F.lit(HEADS)).alias("slot")).agg(first), "heads")
+    met = members.alias("r").join(
+        heads.alias("g"), F.expr("r.word = g.word AND r.n = g.n AND r.lid != g.h.lid AND " + _may_match("r", "g.h"))
+    )
+    return met.select(F.col("h.lid").alias("a"), F.col("r.lid").alias("b")).distinct()
 
 
 def _full_pairs(sets: DataFrame, settled: DataFrame) -> DataFrame:
@@ -130,18 +152,19 @@ def _full_pairs(sets: DataFrame, settled: DataFrame) -> DataFrame:
     rows = (
         sets.filter(f"n >= {WHOLE - 1}")
         .join(small(settled, 16), "lid", "left")
-        .select("lid", F.coalesce("settled", F.lit(False)).alias("settled"), "n", "bitmap", F.posexplode("prefix").alias("i", "word"))
+        .select("lid", F.coalesce("settled", F.lit(False)).alias("settled"), "n", *BITMAPS, F.posexplode("prefix").alias("i", "word"))
+        # One number for three, as these rows are the largest shuffle.
+        .select("word", "lid", F.expr("(bigint(n) << 32) | (i << 1) | int(settled)").alias("packed"), *BITMAPS)
+    )
+    x, y = ({"n": f"({r}.packed >> 32)", "i": f"(({r}.packed >> 1) & 2147483647)", "settled": f"({r}.packed & 1)"} for r in "xy")
+    overlap = f"least({x['n']} - {x['i']}, {y['n']} - {y['i']}) >= {_need(x['n'], y['n'])}"
+    condition = (
+        f"x.word = y.word AND x.lid < y.lid AND {x['settled']} + {y['settled']} < 2"
+        f" AND {overlap} AND {_may_match('x', 'y').replace('x.n', x['n']).replace('y.n', y['n'])}"
     )
-    overlap = f"least(x.n - x.i, y.n - y.i) >= {_need('x.n', 'y.n')}"
     return (
         rows.alias("x")
-        .join(
-            rows.alias("y"),
-            F.expr(
-                "x.word = y.word AND x.lid < y.lid AND NOT (x.settled AND y.settled)"
-                f" AND {overlap} AND {_may_match('x', 'y')}"
-            ),
-        )
+        .join(rows.alias("y"), F.expr(condition))
         .select(F.col("x.lid").alias("a"), F.col("y.lid").alias("b"))
         .distinct()
     )
@@ -153,13 +176,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, t
     asked = staged(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "asked")
     places = staged(sets.join(small(asked, 16), "lid").select("lid", *PLACE), "places")
     same = " AND ".join(f"l.{c} <=> p.{c}" for c in PLACE)
-    words = (
-        _lines(docs, id_col, text_col)
-        .alias("l")
-        .join(small(places, 48).alias("p"), F.expr(same))
-        .select("lid", F.array_distinct("words").alias("words"))
-        .dropDuplicates(["lid"])  # rows with equal ids and texts
+    asked_lines = (
+        _lines(docs, id_col, text_col).alias("l").join(small(places, 48).alias("p"), F.expr(same)).select("lid", "line")
     )
+    # Rows with equal ids and texts give a line twice.
+    words = _worded(asked_lines).select("lid", F.array_distinct("words").alias("words")).dropDuplicates(["lid"])
     words = staged(words, "words")
     both = pairs.join(words.select(F.col("lid").alias("a"), F.col("words").alias("u")), "a").join(
         words.select(F.col("lid").alias("b"), F.col("words").alias("v")), "b"
@@ -179,10 +200,10 @@ def _removed(links: DataFrame, sets: DataFrame) -> DataFrame:
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest, line_no of the lines with words that no earlier line matches."""
-    lines = _lines(docs, id_col, text_col)
-    sets = _sets(lines, _rarity(lines))
+    lines = _worded(_lines(docs, id_col, text_col))
+    sets = _sets(lines, _rarity(docs, text_col))
     star = staged(_verified(_star_pairs(sets), sets, docs, id_col, text_col), "star")
-    settled = staged(star.select(F.col("b").alias("lid"), F.lit(True).alias("settled")).distinct(), "settled")
+    settled = staged(_removed(star, sets).withColumn("settled", F.lit(True)), "settled")
     full = _verified(_full_pairs(sets, settled), sets, docs, id_col, text_col)
     removed = staged(_removed(full, sets).unionByName(settled.select("lid")).distinct(), "removed")
     return sets.join(small(removed, 16), "lid", "left_anti").select(*PLACE)

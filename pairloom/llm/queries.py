@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.registry import Query
-from pairloom.staging import new_stage
+from pairloom.staging import new_stage, staged
 
 from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, warc, weighted
+from .common import small
 
 #: Vocabularies of the installed package; every operator takes a path.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -232,10 +233,11 @@ def op8_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after loading all documents and a review by the labels: toxic ones deleted, poor ones cut by half."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     labels = _table(spark, sf_dir, "labels").filter("toxic = 1 OR quality = 0")
+    reviewed = staged(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "reviewed")
     store = rollups.RollupStore(spark, new_stage(spark, "rollups"), {"word_bpe_49k": WORD_BPE})
     seq = F.lit(0).cast("bigint").alias("seq")
     store.apply("load", docs.select(F.lit("insert").alias("op"), seq, "*"))
-    review = docs.join(labels.select("doc_id", "toxic").distinct(), "doc_id").select(
+    review = docs.join(small(reviewed, 32), "doc_id").select(
         F.when(F.col("toxic") == 1, "delete").otherwise("revise").alias("op"),
         seq,
         "doc_id",

@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, with_fields
+from .common import ship, slices, with_fields
 
 #: How the marks read as text.
 MARKS = {"open": "### ", "sep": ": ", "close": "</turn>\n"}
@@ -102,7 +102,7 @@ def template(ranks_path: str, pattern: str) -> Template:
 def _format(key: tuple):
     def fmt(batches):
         made = template(*key)
-        for batch in batches:
+        for batch in slices(batches):
             turns = made.turns(batch.column("role").to_pylist(), batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -168,7 +168,7 @@ def _digest(key: tuple):
     def digest(batches):
         made = template(*key)
         now = kind = None
-        for batch in batches:
+        for batch in slices(batches):
             kind = batch.column("conv_id").type
             done = []
             for conv, ids, mask in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "ids", "mask"))):

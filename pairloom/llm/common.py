@@ -5,6 +5,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +13,9 @@ from pyspark.sql.types import StructType
 #: A table is broadcast only when its counted rows take less than this many bytes.
 BROADCAST_BYTES = 32 << 20
 
+#: Rows that a worker function has as Python objects at once.
+ROWS_AT_ONCE = 2048
+
 _shipped: set[str] = set()
 
 
@@ -35,6 +39,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def slices(batches, rows: int = ROWS_AT_ONCE):
+    """Record batches cut small: what a worker makes of one batch is in memory at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def raw_text(column: str | Column) -> Column:
     """The UTF-8 bytes of a text; null is empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import raw_text, ship, with_fields
+from .common import raw_text, ship, slices, with_fields
 
 WINDOW = 13
 #: A document is contaminated when hit words are at least this part of its words.
@@ -202,7 +202,7 @@ def without_spans(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _find(key: str, shared, last: bool, cleaned: bool):
     def find(batches):
         automaton = _automaton(key, shared)
-        for batch in batches:
+        for batch in slices(batches):
             n_words, spans, items, raws = [], [], [], batch.column("raw").to_pylist()
             earlier = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
             for raw, (old_spans, old_items) in zip(raws, earlier):

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import ship, with_fields
-from .wordtokens import encoder
+from .common import ship, slices, with_fields
+from .wordtokens import CACHE_PIECES, encoder
 
 WINDOW = 2048
 OPEN_WINDOWS = 64
@@ -95,9 +95,9 @@ class Packer:
             yield now
 
 
-def _pack(path: str, window: int, open_windows: int, end_id: int, with_ids: bool):
+def _pack(path: str, cache_pieces: int, window: int, open_windows: int, end_id: int, with_ids: bool):
     def pack(batches):
-        encode = encoder(path).encode
+        encode = encoder(path, cache_pieces).encode
         end = np.array([end_id], "<u4").tobytes()
         packer = Packer(window, open_windows)
         number = TaskContext.get().partitionId() << 32
@@ -123,7 +123,7 @@ def _pack(path: str, window: int, open_windows: int, end_id: int, with_ids: bool
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             docs_type = batch.column("doc_id").type
             texts = batch.column("text").to_pylist()
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
@@ -170,17 +170,19 @@ def pack(
     open_windows: int = OPEN_WINDOWS,
     end_id: int = END_ID,
     with_ids: bool = False,
+    cache_pieces: int = CACHE_PIECES,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     A document is its ids and ``end_id``. ``start`` counts the ids before the piece,
-    ``offset`` the ids before it in its sequence.
+    ``offset`` the ids before it in its sequence. ``cache_pieces`` trades a worker's memory
+    for time.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = with_fields(rows, ["doc_id"], _SCHEMA + ", ids array<int>" * with_ids)
     pieces = staged(
-        rows.mapInArrow(_pack(tokenizer_path, window, open_windows, end_id, with_ids), schema), "pieces"
+        rows.mapInArrow(_pack(tokenizer_path, cache_pieces, window, open_windows, end_id, with_ids), schema), "pieces"
     )
     # A partition has at most one merged short window; the emitted ones are padded as they are.
     tails = pieces.filter("short").groupBy("sequence_id").agg(F.sum("length").alias("fill"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_text, ship, with_fields
+from .common import raw_text, ship, slices, with_fields
 
 #: The most labelled rows to train on.
 TRAIN_ROWS = 12_000
@@ -178,7 +178,7 @@ def fit(rows: list[tuple], labels: list[int], epochs: int = EPOCHS, seed: int =
 
 
 def _train_features(batches):
-    for batch in batches:
+    for batch in slices(batches):
         raws, chars = batch.column("raw").to_pylist(), batch.column("n_chars").to_pylist()
         rows = [features(r, n) for r, n in zip(raws, chars)]
         yield pa.RecordBatch.from_arrays(
@@ -229,16 +229,17 @@ def train(
         .mapInArrow(_train_features, "quality int, place bigint, at array<int>, value array<float>")
         .toArrow()
     )
-    order = np.lexsort([found["quality"].to_numpy(), found["place"].to_numpy()])
-    at, value = found["at"].to_pylist(), found["value"].to_pylist()
-    quality = found["quality"].to_pylist()
-    return fit([(at[i], value[i]) for i in order], [quality[i] for i in order])
+    found = found.combine_chunks().sort_by([("place", "ascending"), ("quality", "ascending")])
+    at, value = (found[c].combine_chunks() for c in ("at", "value"))
+    ends = at.offsets.to_numpy()
+    at, value = at.values.to_numpy(), value.values.to_numpy()  # views: no Python object per feature
+    return fit([(at[a:b], value[a:b]) for a, b in zip(ends, ends[1:])], found["quality"].to_pylist())
 
 
 def _score(shared):
     def score(batches):
         machine: Machine = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             raws, chars = batch.column("raw").to_pylist(), batch.column("n_chars").to_pylist()
             out = [np.empty(0)]
             for k in range(0, len(raws), TEXTS_AT_ONCE):

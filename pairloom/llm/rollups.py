@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw_text, ship, with_fields
+from .common import raw_text, ship, slices, with_fields
 from .wordtokens import encoder
 
 GROUP = ["source", "lang", "tokenizer"]
@@ -33,7 +33,7 @@ WORDS = "words"
 
 def _count(vocabularies: dict[str, str]):
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches):
             raws = batch.column("raw").to_pylist()
             counts = []
             for name, path in vocabularies.items():

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import raw_text, ship, small
+from .common import raw_text, ship, slices, small
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -55,7 +55,7 @@ def fingerprint(raw: bytes, width: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprints(batches):
-    for batch in batches:
+    for batch in slices(batches):
         prints = [fingerprint(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [*batch.drop_columns(["text"]).columns, pa.array(prints, pa.int64())],

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import raw_text, ship, small
+from .common import raw_text, ship, slices, small
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -111,7 +111,7 @@ def _frames(batches):
     def rows(frames: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
 
-    for batch in batches:
+    for batch in slices(batches):
         names = ("page_id", "url", "payload", "digest", "refers_to")
         for page_id, url, payload, digest, refers_to in zip(*(batch.column(n).to_pylist() for n in names)):
             waiting.append(record(page_id, url, payload, base32(digest), refers_to))

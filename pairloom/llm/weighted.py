@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import ship, with_fields
+from .common import ship, slices, with_fields
 
 SAMPLES = 64
 #: Terms whose draws a worker keeps: 768 bytes each with 64 samples.
@@ -129,7 +129,7 @@ def sampler(samples: int) -> Sampler:
 def _signatures(samples: int):
     def signatures(batches):
         draw = sampler(samples)
-        for batch in batches:
+        for batch in slices(batches):
             kept = [n for n in batch.schema.names if n != "text"]
             prints = [draw.fingerprint(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -193,7 +193,7 @@ def _walk(samples: int):
     def walk(batches):
         draw, part = sampler(samples), TaskContext.get().partitionId()
         last = kind = None
-        for batch in batches:
+        for batch in slices(batches):
             kind = batch.column("doc_id").type
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -214,7 +214,7 @@ def _walk(samples: int):
 def _ends(samples: int):
     def ends(batches):
         draw = sampler(samples)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 (doc, *_compare(draw, text, draw.fingerprint(text), nxt, draw.fingerprint(nxt)))
                 for doc, text, nxt in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "following")))

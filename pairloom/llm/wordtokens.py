@@ -14,8 +14,8 @@ from tokenizers import Tokenizer
 
 #: Pieces kept by one worker, about 200 bytes each; beyond it the cache starts anew.
 CACHE_PIECES = 400_000
-#: Characters encoded between two looks at the cache's size.
-CHARS_AT_ONCE = 4 << 20
+#: Characters encoded between two looks at the cache's size, for each piece that it may keep.
+CHARS_PER_PIECE = 10
 #: White space to ``str.split`` but not to the tokenizer's pattern.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD = re.compile("[a-z]+")
@@ -93,17 +93,18 @@ class WordEncoder:
         for t in texts:
             group.append(t)
             chars += len(t)
-            if chars >= CHARS_AT_ONCE:
+            if chars >= CHARS_PER_PIECE * self.cache_pieces:
                 out += self._some(group)
                 group, chars = [], 0
         return out + self._some(group) if group else out
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> WordEncoder:
     """The worker's encoder for this vocabulary; it lives as long as the worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    key = (path, cache_pieces)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(*key)
+    return _encoders[key]

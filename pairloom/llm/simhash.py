@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.staging import staged
@@ -135,6 +135,15 @@ def keep_one(
     prints = fingerprints(docs, text_col, doc_id=F.col(id_col), digest=digest)
     rows = staged(prints.groupBy("fp", "doc_id", "digest").agg(F.count("*").alias("copies")), "rows")
     members = staged(components(links(rows.select("fp").distinct(), max_bits)), "members")
+    return first_of_each(docs, rows, members, id_col, digest)
+
+
+def first_of_each(docs: DataFrame, rows: DataFrame, members: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """The rows of ``docs`` without all but the first of each group.
+
+    ``rows`` has fp, doc_id, digest and copies of all documents, ``members`` the node and root of
+    each fp that is linked; both are staged tables.
+    """
     grouped = staged(
         rows.join(members, F.col("fp") == F.col("node"), "left").select(
             F.coalesce("root", "fp").alias("root"), "doc_id", "digest", "copies"

@@ -57,3 +57,15 @@ def test_one_and_no_document(spark):
     (row,) = weighted.beside_next(one).collect()
     assert row.edited_sha256 == sha256(b"a b c a").hexdigest() and row.near_next == 1
     assert weighted.beside_next(empty(spark)).count() == 0
+
+
+def test_error_at_the_samples_in_production():
+    draw, errors, spread = weighted.sampler(weighted.SAMPLES), [], []
+    for seed in range(300):
+        a = prose(seed, 200) + " the" * (seed % 9)
+        b = " ".join(a.split()[: 40 + seed % 160]) + " the" * (seed % 5) + " " + prose(seed + 999, 30)
+        true = true_likeness(a, b)
+        errors.append(weighted.likeness(draw.fingerprint(a), draw.fingerprint(b)) - true)
+        spread.append(true * (1 - true) / weighted.SAMPLES)
+    assert abs(np.mean(errors)) < 0.015
+    assert 0.8 < np.std(errors) / np.mean(spread) ** 0.5 < 1.2

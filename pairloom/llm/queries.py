@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import Query
 from pairloom.staging import new_stage, staged
 
-from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, warc, weighted
+from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, warc, weighted, whitening
 from .common import small
 
 #: Vocabularies of the installed package; every operator takes a path.
@@ -248,3 +248,9 @@ def op8_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.apply("review", review)
     store.apply("review", review)  # comes twice, counts once
     return store.totals()
+
+
+@_query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))  # null past a long

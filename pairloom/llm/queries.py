@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driver_queries.registry import Query
 from pairloom.staging import new_stage, staged
 
-from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, warc, weighted, whitening
+from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, variants, warc, weighted, whitening
 from .common import small
 
 #: Vocabularies of the installed package; every operator takes a path.
@@ -254,3 +254,53 @@ def op8_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))  # null past a long
+
+
+_CRC_BIT = "xor({0} >> 1, ({0} & 1) * 3988292384::BIGINT)"
+_CRC_BYTE = "i"
+for _ in range(8):
+    _CRC_BYTE = f"list_transform([{_CRC_BYTE}], lambda b: {_CRC_BIT.format('b')})[1]"
+#: Skips and halves as strings; the checksum by a table made here.
+OP13_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: {_CRC_BYTE}) AS t),
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents) WHERE length(r) >= 7),
+keyed AS (SELECT w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs GROUP BY doc_id, w),
+hashed AS (
+  SELECT w, n, xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM keyed, crc),
+said AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM said WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less, substr(word, 1, i) || '*' || substr(word, i + 2) AS hole
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+longer AS (SELECT DISTINCT cut.word AS long, cut.n AS long_n, words.word AS short, words.n AS short_n FROM cut JOIN words ON cut.less = words.word),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.hole = b.hole AND a.word <> b.word
+  UNION ALL SELECT long, long_n, short, short_n FROM longer
+  UNION ALL SELECT short, short_n, long, long_n FROM longer),
+best AS (
+  SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place
+  FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM best WHERE place = 1) b ON w.word = b.word),
+up AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT up.word, formed.form FROM up JOIN formed ON formed.word = up.root WHERE formed.form IS NOT NULL)
+SELECT formed.word, formed.form, up.root, formed.n, formed.n_near::BIGINT AS n_near, formed.form_n
+FROM formed JOIN up ON up.word = formed.word JOIN formed top ON top.word = up.root AND top.form IS NULL
+"""
+
+
+@_query(OP13_SQL)
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's slips: a run loses a letter where 31 divides its hash."""
+    words = variants.word_counts(_table(spark, sf_dir, "documents"), slip_every=31)
+    return variants.group_variants(staged(words, "words")).select("word", "form", "root", "n", "n_near", "form_n")

@@ -8,7 +8,21 @@ from pyspark.sql import functions as F
 from driver_queries.registry import Query
 from pairloom.staging import new_stage, staged
 
-from . import chat, decontaminate, linededup, packing, quality, rollups, secrets, simhash, variants, warc, weighted, whitening
+from . import (
+    chat,
+    decontaminate,
+    linededup,
+    packing,
+    personal,
+    quality,
+    rollups,
+    secrets,
+    simhash,
+    variants,
+    warc,
+    weighted,
+    whitening,
+)
 from .common import small
 
 #: Vocabularies of the installed package; every operator takes a path.
@@ -304,3 +318,26 @@ def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's slips: a run loses a letter where 31 divides its hash."""
     words = variants.word_counts(_table(spark, sf_dir, "documents"), slip_every=31)
     return variants.group_variants(staged(words, "words")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _listed(spans):
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+@_query()
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chain = personal.train(personal.labelled_table(spark))
+    found = personal.find_personal(_table(spark, sf_dir, "documents"), chain, doc_id=F.col("doc_id"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal.BASE_KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, personal.BASE_KINDS),
+        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )

@@ -25,7 +25,7 @@ def rows_of(spark, sf, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() <= entry.queries().keys()
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([*(f"op{k}" for k in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted([*(f"op{k}" for k in range(1, 14)), "pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))

@@ -41,6 +41,21 @@ def read_chat_jsonl(spark, sf):
     return _flat(jsonl.read_chat_jsonl(spark, path))
 
 
+@query(
+    "plain_chat_lines",
+    f"""WITH {t.PROMPTS}, placed AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS line_no FROM prompts)
+SELECT line_no, 0 AS ix, 'user' AS role, prompt AS content FROM placed
+UNION ALL SELECT line_no, 1, 'assistant', answer FROM placed""",
+)
+def plain_chat_lines(spark, sf):
+    """Chat files that do not state their lines' places, read by them."""
+    path = new_stage(spark, "plain_chat")
+    rows = t.instructions(spark, sf).orderBy("row_id")
+    prompt = render.prompt_text(F.col("context"), F.col("question"))
+    rows.select(F.to_json(F.struct(render.chat_messages(prompt, F.col("answer")).alias("messages")))).write.text(path)
+    return _flat(jsonl.read_chat_jsonl(spark, path))
+
+
 @query("write_chat_jsonl", "SELECT count(*) AS reported, count(*) AS line_count FROM orders")
 def write_chat_jsonl(spark, sf):
     """The count reported by the writer beside the lines in the files."""

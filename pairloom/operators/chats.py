@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from ..functions import render, sqltext
 from ..staging import staged
 from .positions import running_totals
-from .skew import salted_join
+from .skew import join_null_safe, salted_join
+
 
 def to_chat(rows: DataFrame) -> DataFrame:
     """Instruction rows with their two-message record."""
@@ -26,11 +27,14 @@ def turns_to_chat(turns: DataFrame) -> DataFrame:
 
 
 def placed_turns(turns: DataFrame) -> DataFrame:
-    """Every turn with its 1-based ``position`` and the ``n_turns`` of its conversation."""
-    narrow = running_totals(turns.select("conv_id", "turn"), ["conv_id"], "turn", {})
+    """Every turn with its 1-based ``position`` and the ``n_turns`` of its conversation.
+
+    The rows travel whole, once, so each comes out once: rows with one number stay apart, and
+    a NULL id is a conversation.
+    """
     counts = turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
-    placed = salted_join(narrow, counts, ["conv_id"], "turn", size="n_turns")
-    return turns.join(placed, ["conv_id", "turn"])
+    placed = running_totals(turns, ["conv_id"], "turn", {})
+    return salted_join(placed, counts, ["conv_id"], "position", size="n_turns")
 
 
 def split_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,15 +42,15 @@ def split_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Of conversations with a prompt that end with an assistant's turn. The first result
     has all turns but the last; the second ``conv_id``, ``gold``, ``question`` and
-    ``prompt_turns``. No conversation is gathered.
+    ``prompt_turns``. No conversation is gathered. Repeated turns are turns; see ``placed_turns``.
     """
     placed = staged(placed_turns(turns), "placed")
     usable = (F.col("position") == F.col("n_turns")) & (F.col("role") == "assistant") & (F.col("n_turns") > 1)
     gold = placed.filter(usable).select("conv_id", F.col("text").alias("gold"), (F.col("n_turns") - 1).alias("prompt_turns"))
     asked = placed.filter(F.col("position") == F.col("n_turns") - 1).select("conv_id", F.col("text").alias("question"))
-    answers = gold.join(asked, "conv_id")
+    answers = join_null_safe(gold, asked, ["conv_id"])
     rest = placed.filter(F.col("position") < F.col("n_turns"))
-    prompts = salted_join(rest, gold.select("conv_id", "prompt_turns"), ["conv_id"], "turn", size="prompt_turns")
+    prompts = salted_join(rest, gold.select("conv_id", "prompt_turns"), ["conv_id"], "position", size="prompt_turns")
     return prompts.select("conv_id", "turn", "role", "text"), answers
 
 

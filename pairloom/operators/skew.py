@@ -6,12 +6,25 @@ salt: their rows are dealt over several tasks and their one partner row is repea
 for each. Every row still meets its partner.
 """
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which a NULL key meets a NULL key; the keys come out once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+
+    def meets(k: str) -> Column:
+        a, b = F.col(k), F.col(f"_right_{k}")
+        return a.eqNullSafe(b) if left.schema[k].nullable and right.schema[k].nullable else a == b
+
+    return left.join(renamed, reduce(lambda a, b: a & b, map(meets, keys)), how).drop(*[f"_right_{k}" for k in keys])
+
+
 def salted_join(
     rows: DataFrame,
     partners: DataFrame,
@@ -20,7 +33,7 @@ def salted_join(
     rows_per_task: int = ROWS_PER_TASK,
     size: str | None = None,
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``partners``, which has one row per key.
+    """Inner join of ``rows`` with ``partners``, which has one row per key; NULL is a key.
 
     ``deal_by`` differs between the rows of a key. Hot keys are those with more than
     ``rows_per_task`` rows, so there is at most one for each ``rows_per_task`` rows
@@ -45,4 +58,4 @@ def salted_join(
     repeated = partners.withColumn("_h", key_hash).join(hot, "_h", "left").select(
         *partners.columns, F.explode(F.sequence(F.lit(0), ways - 1)).alias("_salt")
     )
-    return dealt.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return join_null_safe(dealt, repeated, [*keys, "_salt"]).drop("_salt")

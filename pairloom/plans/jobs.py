@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import render, sqltext
 from ..operators import band, chats, pairs, splits
 from ..operators.verdicts import reward
-from ..sources import jsonl
+from ..sources import jsonl, lines
 from ..staging import staged
 from .scoring import score_pairs
 
@@ -27,10 +27,12 @@ def prepare_dataset(
 def evaluate_responses(examples: DataFrame, responses: DataFrame, model: str) -> DataFrame:
     """Prediction rows from chat examples and the model's responses by ``line_no``.
 
-    An example without a response counts as a miss.
+    An example without a response counts as a miss. A row without a place, on either side,
+    is an error and no miss.
     """
-    asked = chats.split_prompt_gold(examples).select("line_no", "question", "gold")
-    answered = asked.join(responses.select("line_no", "raw_response"), "line_no", "left")
+    place = lines.required(F.col("line_no"), "line_no").alias("line_no")
+    asked = chats.split_prompt_gold(examples).select(place, "question", "gold")
+    answered = asked.join(responses.select(place, "raw_response"), "line_no", "left")
     return chats.score_responses(answered).select(
         F.lit(jsonl.model_label(model)).alias("model"),
         "line_no",

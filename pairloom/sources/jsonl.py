@@ -1,7 +1,8 @@
 """Readers and writers of the record types.
 
-Schemas are always given. A file has no line order in Spark, so each record that
-needs its place carries ``line_no``.
+Schemas are always given. Records that are written carry their place as ``line_no``, since a
+DataFrame keeps no order of lines. Files of others do not: their records get the place of
+their line (``lines``), from 0, and files of one folder count on in the order of their names.
 """
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import render
 from ..records import CHAT, INSTRUCTION, PAIR, PREDICTION
+from .lines import read_placed
 
 
 def read_instructions(
@@ -54,7 +56,7 @@ def write_chat_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> int
 
 
 def read_chat_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHAT).json(path)
+    return read_placed(spark, path, CHAT).select(*CHAT.fieldNames())
 
 
 def model_label(name: str) -> str:
@@ -68,7 +70,16 @@ def write_predictions(predictions: DataFrame, path: str, mode: str = "overwrite"
 
 
 def read_predictions(spark: SparkSession, path: str, model: str | None = None) -> DataFrame:
-    df = spark.read.schema(PREDICTION).json(path)
+    """Prediction rows, all or those of one model.
+
+    Records that name no model belong to the one in their file's name
+    (``predictions-<model>.jsonl``, else the whole name), and are numbered for each of them.
+    """
+    name = F.regexp_extract(F.url_decode(F.regexp_replace("file", r"\+", "%2B")), r"(?:predictions-)?([^/]*?)(?:\.jsonl?)?$", 1)
+    df = read_placed(spark, path, PREDICTION, within=F.coalesce("record.model", name))
+    if "file" in df.columns:
+        df = df.withColumn("model", F.coalesce("model", name))
+    df = df.select(*PREDICTION.fieldNames())
     return df if model is None else df.filter(F.col("model") == model_label(model))
 
 
@@ -79,4 +90,4 @@ def write_pairs(pairs: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 def read_pairs(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """One DataFrame per pair file, in the given order."""
-    return [spark.read.schema(PAIR).json(p) for p in paths]
+    return [read_placed(spark, p, PAIR).select(*PAIR.fieldNames()) for p in paths]

@@ -256,3 +256,87 @@ SELECT pair_id, CASE WHEN bool_or(unbuilt) THEN 'gold_error' WHEN NOT bool_and(e
 def score_pairs(spark, sf):
     """Synthesize five databases per order, run both texts on each, and judge."""
     return scoring.score_pairs(text_pairs(spark, sf))
+
+
+# --- texts whose literals differ from order to order ---------------------------------
+
+# ---- fixed values: one (gold, candidate) per order priority; {k} is the order's key, {j} the one before, {p} its whole price ----
+LITERAL_TEXTS = {
+    "1-URGENT": ("SELECT o_orderstatus FROM orders WHERE o_orderkey >= {k}", "SELECT o_orderstatus FROM orders WHERE o_orderkey > {j}"),
+    "2-HIGH": ("SELECT count(*) FROM orders WHERE o_totalprice < {p}.5", "SELECT count(*) FROM orders WHERE o_totalprice <= {p}.5"),
+    "3-MEDIUM": ("SELECT a.o_orderkey FROM orders AS a LEFT JOIN orders AS b ON a.o_orderkey = b.o_orderkey"
+                 " WHERE a.o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey < {k})",
+                 "SELECT a.o_orderkey FROM orders AS a JOIN orders AS b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey < {k}"),
+    "4-NOT SPECIFIED": ("SELECT o_orderstatus FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderkey <= {k})",
+                        "SELECT o_orderstatus FROM orders WHERE o_orderkey = {k}"),
+    "5-LOW": ("SELECT o_orderkey FROM orders AS a WHERE NOT EXISTS"
+              " (SELECT 1 FROM orders AS b WHERE b.o_orderkey = a.o_orderkey AND b.o_totalprice > {p})",
+              "SELECT o_orderkey FROM orders WHERE NOT o_totalprice > {p}"),
+}
+# ---- end of fixed values ----
+
+
+def literal_pairs(spark, sf):
+    """A query pair per order, nearly as many texts as orders."""
+    key = F.col("o_orderkey")
+    marks = {"{k}": key, "{j}": key - 1, "{p}": F.floor("o_totalprice").cast("bigint")}
+
+    def by_priority(side):
+        out = F.lit(None).cast("string")
+        for priority, texts in LITERAL_TEXTS.items():
+            filled = F.lit(texts[side])
+            for mark, value in marks.items():
+                filled = F.replace(filled, F.lit(mark), value.cast("string"))
+            out = F.when(F.col("o_orderpriority") == priority, filled).otherwise(out)
+        return out
+
+    return t.table(spark, sf, "orders").select(
+        key.alias("pair_id"),
+        key.alias("seed"),
+        F.when(F.col("o_orderstatus") == "P", t.SCHEMAS["P"]).otherwise(t.ORDERS).alias("schema"),
+        by_priority(0).alias("gold"),
+        by_priority(1).alias("candidate"),
+    )
+
+
+def _literal_sql() -> str:
+    from .fixtures import PLAN_SQL, ROWS_SQL, FACTS_SQL  # the SQL of the synthetic rows
+
+    def case(side):
+        arms = " ".join(
+            f"WHEN '{p}' THEN replace(replace(replace('{texts[side]}', '{{k}}', o_orderkey::VARCHAR), '{{j}}', (o_orderkey - 1)::VARCHAR),"
+            " '{p}', floor(o_totalprice)::BIGINT::VARCHAR)"
+            for p, texts in LITERAL_TEXTS.items()
+        )
+        return f"CASE o_orderpriority {arms} END"
+
+    source = f"""instructions AS (SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN '{t.SCHEMAS["P"]}' ELSE '{t.ORDERS}' END AS context,
+      {case(0)} AS answer, {case(1)} AS candidate FROM orders)"""
+    facts = FACTS_SQL.replace(t.INSTRUCTIONS, source)
+    return f"""WITH {facts}, {PLAN_SQL}, {ROWS_SQL}, wide AS (
+  SELECT row_id, db_ix, row_ix, TRY_CAST(max(cell) FILTER (WHERE col_ix = 0) AS BIGINT) AS k,
+    max(cell) FILTER (WHERE col_ix = 1) AS s, TRY_CAST(max(cell) FILTER (WHERE col_ix = 2) AS DOUBLE) AS p
+  FROM cells WHERE table_name = 'orders' GROUP BY ALL
+), seen AS (
+  SELECT o_orderkey AS pair_id, o_orderpriority, o_orderkey AS key, floor(o_totalprice) AS price, wide.*,
+    bool_or(p > floor(o_totalprice)) OVER (PARTITION BY row_id, db_ix, k) AS dearer,
+    max(k) FILTER (WHERE k <= o_orderkey) OVER (PARTITION BY row_id, db_ix) AS below
+  FROM orders JOIN wide ON row_id = o_orderkey
+), checks AS (
+  SELECT pair_id, db_ix, CASE o_orderpriority
+      WHEN '2-HIGH' THEN count(*) FILTER (WHERE p = price + 0.5) = 0
+      WHEN '4-NOT SPECIFIED' THEN coalesce(max(below) = max(key), true)
+      WHEN '5-LOW' THEN count(*) FILTER (WHERE dearer AND p <= price) = 0
+      ELSE true END AS equal,
+    CASE o_orderpriority WHEN '1-URGENT' THEN count(s) FILTER (WHERE k >= key) > 0 WHEN '2-HIGH' THEN true
+      WHEN '3-MEDIUM' THEN count(k) FILTER (WHERE k < key) > 0 WHEN '4-NOT SPECIFIED' THEN count(s) FILTER (WHERE k = below) > 0
+      ELSE count(k) FILTER (WHERE NOT dearer) > 0 END AS live
+  FROM seen GROUP BY pair_id, db_ix, o_orderpriority)
+SELECT pair_id, CASE WHEN NOT bool_and(equal) THEN 'mismatch' WHEN bool_or(live) THEN 'match'
+    ELSE 'non_discriminative' END AS verdict FROM checks GROUP BY pair_id"""
+
+
+@query("score_texts", _literal_sql())
+def score_texts(spark, sf):
+    """Texts with an outer join, IN, a scalar subquery and NOT EXISTS, and literals of their own, judged over all orders."""
+    return scoring.score_pairs(literal_pairs(spark, sf))

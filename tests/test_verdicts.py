@@ -218,6 +218,101 @@ def test_score_pairs(spark):
     assert got == want
 
 
+OTHER = "CREATE TABLE Visit (n1_ INTEGER, place VARCHAR, cost REAL) CREATE TABLE town (t_no INTEGER, label VARCHAR)"
+PAIR = "pair_id bigint, schema string, gold string, candidate string, seed bigint"
+
+
+def own_literals(spark, n):
+    """Five shapes over two schemas; every pair has literals of its own."""
+    rows = []
+    for k in range(n):
+        t, a, b, c, u, x, d = [("t", "a", "b", "c", "u", "k", "d"), ("Visit", "n1_", "place", "cost", "town", "T_NO", "label")][k % 2]
+        texts = [
+            (f"SELECT {a} FROM {t} WHERE {a} > {k}", f"select  {a} from {t} where {a} >= {k + 1}"),
+            (f"SELECT count(*) FROM {t} WHERE {b} = 'w{k}' AND {c} < {k}.5", f"SELECT count(*) FROM {t} WHERE {b} = \"w{k}\""),
+            (f"SELECT x.{b} FROM {t} AS x LEFT JOIN {u} AS y ON x.{a} = y.{x} AND y.{d} = 'v{k}' WHERE x.{a} < {k} OR y.{x} = {k % 7}",
+             f"SELECT x.{b} FROM {t} AS x WHERE x.{a} < {k}"),
+            (f"SELECT {b} FROM {t} WHERE {a} IN (SELECT {x} FROM {u} WHERE {x} <> {k % 5})", f"SELECT {b} FROM {t} JOIN {u} ON {a} = {x} WHERE {x} <> {k % 5}"),
+            (f"SELECT {b}, sum(CASE WHEN {a} = {k % 6} THEN 1 ELSE 0 END) FROM {t} GROUP BY {b} HAVING count(*) > 1", f"SELECT {b}, count(*) FROM {t} WHERE {a} = {k % 6} GROUP BY {b}"),
+        ]
+        rows.append((k, SCHEMA if k % 2 == 0 else OTHER, *texts[k // 2 % 5], k))
+    return spark.createDataFrame(rows, PAIR)
+
+
+def verdicts_of(df):
+    return {r["pair_id"]: r["verdict"] for r in df.collect()}
+
+
+def test_texts_of_one_shape_share_a_plan(spark, monkeypatch):
+    planned, plan = [], scoring.plan_text
+
+    def seen(spark, sql, *args):
+        rows = plan(spark, sql, *args)
+        shown = rows._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in shown and "Cartesian" not in shown
+        planned.append(sql)
+        return rows
+
+    monkeypatch.setattr(scoring, "plan_text", seen)
+    few = verdicts_of(scoring.score_pairs(own_literals(spark, 20)))
+    for_few = len(planned)
+    many = verdicts_of(scoring.score_pairs(own_literals(spark, 80)))
+    # Two rounds of two sides of five shapes at most, whatever the number of texts and schemas.
+    assert for_few <= 20 and len(planned) - for_few <= 20 and many.items() >= few.items()
+    assert len({*many.values()}) > 1
+
+    def no_columns(text):
+        raise execute.RejectedQuery("each text by itself")
+
+    monkeypatch.setattr(scoring, "plan_text", plan)
+    monkeypatch.setattr(scoring.shapes, "with_columns", no_columns)
+    assert verdicts_of(scoring.score_pairs(own_literals(spark, 20))) == few
+
+
+def test_shapes_keep_what_a_plan_must_see(spark):
+    texts = {
+        "SELECT a FROM t WHERE a=5 LIMIT 3": "SELECT n2_ FROM n1_ WHERE n2_ = ? LIMIT 3",
+        "select a from T where T.a = 5 /* ' */ limit 3 -- it's": "SELECT n2_ FROM n1_ WHERE n1_.n2_ = ? LIMIT 3",
+        "SELECT a FROM t WHERE a = 5 + 1 OR b = 'a''b' OR b = 'x\\'y' OR a <=> 5 OR count(*) > 5": (
+            "SELECT n2_ FROM n1_ WHERE n2_ = 5 + 1 OR n3_ = 'a''b' OR n3_ = 'x\\'y' OR n2_ <=> 5 OR COUNT(*) > 5"
+        ),
+        "SELECT * FROM t WHERE a = 5": "SELECT * FROM n1_ WHERE n2_ = 5",
+        "SELECT a FROM t WHERE b = \"a\" AND b = \"z\" AND b IN ('b = 5')": "SELECT n2_ FROM n1_ WHERE n3_ = n2_ AND n3_ = ? AND n3_ IN ('b = 5')",
+        "SELECT a AS n2_ FROM t ORDER BY 1": "SELECT n2_ AS n2__ FROM n1_ ORDER BY 1",
+    }
+    df = spark.createDataFrame([(q,) for q in texts], "q string").withColumn("tables", fixtures.sqltext.parse_tables(F.lit(SCHEMA)))
+    rows = df.select("q", scoring.shapes.shape(F.col("q"), scoring.shapes.schema_names(F.col("tables"))).alias("s")).collect()
+    for r in rows:
+        assert scoring.shapes.with_literals(r["s"]["text"], ["?"] * 9) == texts[r["q"]]
+
+
+def test_the_second_round_has_the_undecided_pairs_only(spark, monkeypatch):
+    made, rows = [], scoring.fixture_rows
+    monkeypatch.setattr(scoring, "fixture_rows", lambda left, *args: made.append(left.count()) or rows(left, *args))
+    pairs = spark.createDataFrame([(i, SCHEMA, g, c, i) for i, (g, c, _) in enumerate(SCORED)], PAIR)
+    got = verdicts_of(scoring.score_pairs(pairs))
+    assert got == {i: v for i, (_, _, v) in enumerate(SCORED)}
+    assert made[0] == len(SCORED) and made[1] == sum(v in ("match", "non_discriminative") for v in got.values())
+
+
+def test_a_runaway_text_fails_its_side_only(spark):
+    many = "SELECT count(*) FROM " + ", ".join(f"t AS x{k}" for k in range(14))
+    texts = [("SELECT a FROM t WHERE a > 3", "SELECT a FROM t WHERE a >= 4"), ("SELECT a FROM t", many), (many, "SELECT a FROM t")]
+    pairs = spark.createDataFrame([(i, SCHEMA, g, c, i) for i, (g, c) in enumerate(texts)], PAIR)
+    begun = time.time()
+    assert verdicts_of(scoring.score_pairs(pairs, seconds=8)) == {0: "match", 1: "mismatch", 2: "gold_error"}
+    assert time.time() - begun < 150
+
+
+def test_a_lost_table_is_no_fault_of_the_text(spark, keyed, tmp_path):
+    with pytest.raises(Exception) as raised:
+        spark.read.parquet(f"{tmp_path}/gone").collect()
+    assert not execute.is_query_error(raised.value)
+    with pytest.raises(Exception) as raised:
+        spark.sql("SELECT nope FROM range(3)")
+    assert execute.is_query_error(raised.value)
+
+
 def test_a_failed_write_is_no_verdict(spark, monkeypatch, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("not a folder")

@@ -1,5 +1,6 @@
 """Helpers that the operators share: worker code, staged tables, checked broadcasts."""
 
+import gc
 import io
 import tempfile
 import zipfile
@@ -13,8 +14,11 @@ from pyspark.sql.types import StructType
 #: A table is broadcast only when its counted rows take less than this many bytes.
 BROADCAST_BYTES = 32 << 20
 
-#: Rows that a worker function has as Python objects at once.
-ROWS_AT_ONCE = 2048
+#: Rows and bytes that a worker function has as Python objects at once (a longer row comes alone).
+ROWS_AT_ONCE = 1024
+BYTES_AT_ONCE = 4 << 20
+#: Rows in a batch on its way to a worker, where the session has Spark's own number.
+ROWS_PER_BATCH = 1000
 
 _shipped: set[str] = set()
 
@@ -25,6 +29,9 @@ def ship(spark: SparkSession) -> None:
     Functions that run in tasks are then imported there by name, so what they load
     (tokenizers, automata) is kept between the tasks of a worker.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(ROWS_PER_BATCH))  # whole texts: ten thousand are too many for one batch
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -39,15 +46,38 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def slices(batches, rows: int = ROWS_AT_ONCE):
+def slices(batches, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE):
     """Record batches cut small: what a worker makes of one batch is in memory at once."""
     for batch in batches:
-        for k in range(0, batch.num_rows, rows):
-            yield batch.slice(k, rows)
+        k = 0
+        while k < batch.num_rows:
+            part = batch.slice(k, rows)
+            while part.num_rows > 1 and part.nbytes > size:
+                part = part.slice(0, part.num_rows // 2)
+            k += part.num_rows
+            yield part
         del batch
         pa.default_memory_pool().release_unused()
 
 
+_held: dict = {}
+
+
+def held(kind: str, key, make):
+    """What a worker keeps between its tasks, of one kind at a time.
+
+    A worker outlives the stages of a pipeline; what one of them has loaded goes when the next one
+    loads something else.
+    """
+    if kind not in _held:
+        _held.clear()
+        gc.collect()
+        _held[kind] = {}
+    if key not in _held[kind]:
+        _held[kind][key] = make()
+    return _held[kind][key]
+
+
 def raw_text(column: str | Column) -> Column:
     """The UTF-8 bytes of a text; null is empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")

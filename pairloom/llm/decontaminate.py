@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import raw_text, ship, slices, with_fields
+from .common import held, raw_text, ship, slices, with_fields
 
 WINDOW = 13
 #: A document is contaminated when hit words are at least this part of its words.
@@ -162,14 +162,9 @@ def hits(automaton: Automaton, words: list[bytes]) -> tuple[list[tuple[int, int]
     return spans, items
 
 
-_built: dict = {}
-
-
 def _automaton(key: str, shared) -> Automaton:
-    if key not in _built:
-        _built.clear()  # one at a time: a worker's memory holds no other run's items
-        _built[key] = Automaton.of(*shared.value)
-    return _built[key]
+    # One at a time: a worker's memory holds no other block's items.
+    return held(f"automaton {key}", key, lambda: Automaton.of(*shared.value))
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pairloom.staging import staged
 
-from .common import ship, slices, with_fields
+from .common import held, ship, slices, with_fields
 
 SAMPLES = 64
 #: Terms whose draws a worker keeps: 768 bytes each with 64 samples.
@@ -116,14 +116,9 @@ def likeness(a: bytes, b: bytes) -> float:
     return float((np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")).mean())
 
 
-_samplers: dict[int, Sampler] = {}
-
-
 def sampler(samples: int) -> Sampler:
     """The worker's sampler."""
-    if samples not in _samplers:
-        _samplers[samples] = Sampler(samples)
-    return _samplers[samples]
+    return held("samplers", samples, lambda: Sampler(samples))
 
 
 def _signatures(samples: int):

@@ -12,6 +12,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
+from .common import held
+
 #: Pieces kept by one worker, about 200 bytes each; beyond it the cache starts anew.
 CACHE_PIECES = 400_000
 #: Characters encoded between two looks at the cache's size, for each piece that it may keep.
@@ -99,12 +101,6 @@ class WordEncoder:
         return out + self._some(group) if group else out
 
 
-_encoders: dict[tuple[str, int], WordEncoder] = {}
-
-
 def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> WordEncoder:
-    """The worker's encoder for this vocabulary; it lives as long as the worker."""
-    key = (path, cache_pieces)
-    if key not in _encoders:
-        _encoders[key] = WordEncoder(*key)
-    return _encoders[key]
+    """The worker's encoder for this vocabulary; it stays while the worker needs no other."""
+    return held("encoders", (path, cache_pieces), lambda: WordEncoder(path, cache_pieces))

@@ -43,6 +43,12 @@ def _query(sql: str | None = None):
     return add
 
 
+def _listed(spans):
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -199,6 +205,7 @@ _OP2_RULES = [
     (1, "access", "AKIA[A-Z0-9]+", 0, 16),
     (2, "hex", "[0-9a-f]{32,}", 0, 32),
 ]
+_OP2_RULES += [(k, r.kind, r.pattern, 0, 1) for k, r in enumerate(secrets.TOKEN_RULES, 3)]
 _OP2_FOUND = "\nUNION ALL\n".join(
     f"""SELECT doc_id, {k} AS k, '{kind}' AS kind, {least} AS least,
   list_transform(string_split_regex(t, '{pattern.replace("'", "''")}'), lambda x: length(x)) AS gaps,
@@ -216,10 +223,11 @@ spans AS (
 named AS (SELECT *, kind || ':' || s || ':' || (s + size) AS span FROM spans),
 grouped AS (
   SELECT doc_id, string_agg(span, ',' ORDER BY s, k) AS spans, count(*) FILTER (WHERE k = 0) AS n_assign,
-         count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex
+         count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base
   FROM named GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
-       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN grouped USING (doc_id)
 """
 
@@ -227,18 +235,17 @@ FROM texts LEFT JOIN grouped USING (doc_id)
 @_query(OP2_SQL)
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
-    named = F.array_join(
-        F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
+    kinds = [r.kind for r in secrets.BASE_RULES]
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
     return found.select(
         "doc_id",
-        *(count(r.kind) for r in secrets.BASE_RULES),
-        F.sha2(named.cast("binary"), 256).alias("base_sha256"),
-        named.alias("spans"),
+        *map(count, kinds),
+        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
     )
 
 
@@ -320,12 +327,6 @@ def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(staged(words, "words")).select("word", "form", "root", "n", "n_near", "form_n")
 
 
-def _listed(spans):
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
-
-
 @_query()
 def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = personal.train(personal.labelled_table(spark))

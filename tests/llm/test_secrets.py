@@ -1,5 +1,7 @@
 import random
 import re
+import time
+from itertools import accumulate
 
 import pytest
 from awkward import documents, empty
@@ -7,7 +9,7 @@ from awkward import documents, empty
 from pairloom.llm import secrets
 
 
-def by_rule(text, rules=secrets.BASE_RULES):
+def by_rule(text, rules=secrets.RULES):
     found = []
     for k, rule in enumerate(rules):
         for m in re.finditer(rule.pattern, text):
@@ -78,3 +80,40 @@ def test_awkward_documents(spark):
     assert sum(len(r.spans) for r in secrets.scan(docs, only).collect()) == 1
     assert secrets.scan(docs).count() == docs.count()
     assert secrets.scan(empty(spark)).count() == 0
+
+
+TOKENS = [
+    "ghp_" + "a1B2" * 9, "github_pat_" + "x_9" * 20, "glpat-" + "Ab_-" * 5, "xoxb-" + "1234567890-abc", "https://hooks.slack.com/services/" + "T0/B1/" * 4,
+    "sk_live_" + "a" * 16, "AIza" + "k" * 35, "ya29." + "z" * 20, "GOCSPX-" + "q" * 28, "ASIA" + "K9" * 8, "SG." + "a" * 22 + "." + "b" * 43,
+    "key-" + "0f" * 16, "npm_" + "n" * 36, "pypi-" + "p" * 50, "dckr_pat_" + "d" * 20, "-----BEGIN RSA PRIVATE KEY-----",
+    "eyJ" + "h" * 8 + ".eyJ" + "p" * 8 + "." + "s" * 8, "AccountKey=" + "A+/=" * 10, "dop_v1_" + "0a" * 32, "shpat_" + "aF" * 16, "sq0atp-" + "w" * 22,
+    "dapi" + "12" * 16, "hf_" + "H" * 30, "glsa_" + "g" * 32 + "_0123abcd", "https://discord.com/api/webhooks/12/" + "d" * 20,
+    "12345678:AA" + "t" * 33, "postgres://user:pa$$@db.example.org", "Bearer " + "b" * 20,
+]
+
+
+def test_every_token_rule_finds_its_own(spark):
+    """Alone, in other words, and one character short of it."""
+    rows = [(3 * k + j, text) for k, t in enumerate(TOKENS) for j, text in enumerate((t, f"say {t}, or\né not", t[:-1] + "!"))]
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: by_rule(t) for i, t in rows}
+    for k, rule in enumerate(secrets.TOKEN_RULES):
+        assert rule.kind in [kind for _, _, kind in got[3 * k]] and rule.kind in [kind for _, _, kind in got[3 * k + 1]]
+        assert secrets.trigram_query(rule.pattern)
+
+
+def test_many_matches_in_one_text(spark):
+    text = "token=abcdefgh1 \U0001f600 " * 100_000
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
+    begun = time.time()
+    spans = {r.doc_id: r.spans for r in secrets.scan(docs).collect()}
+    assert time.time() - begun < 30
+    assert [s.start for s in spans[1]] == list(range(0, 18 * 100_000, 18)) and {s.end - s.start for s in spans[1]} == {15} and spans[2] == []
+
+
+def test_running_sums(spark):
+    draw = random.Random(6)
+    rows = [(k, [draw.randint(0, 9) for _ in range(k)]) for k in (0, 1, 2, 3, 4, 5, 8, 9, 10, 17, 100, 1000)]
+    df = spark.createDataFrame(rows, "k int, v array<bigint>")
+    got = {r.k: r.s for r in df.select("k", secrets.running_sums(df["v"]).alias("s")).collect()}
+    assert got == {k: list(accumulate(v)) for k, v in rows}

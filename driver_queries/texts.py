@@ -157,3 +157,21 @@ def boundary_values(spark, sf):
             F.array_sort(half, lambda a, b: F.signum(a.cast("double") - b.cast("double")).cast("int")), "|"
         ).alias("fraction"),
     )
+
+
+@query(
+    "wide_boundary_values",
+    """WITH v AS (SELECT o_orderkey AS row_id, (o_orderkey::VARCHAR || repeat('7', 18 + (o_orderkey % 40)::INT))::DOUBLE AS d FROM orders),
+k AS (SELECT row_id, d::BIGNUM::VARCHAR AS k FROM v)
+SELECT row_id, ltrim(regexp_extract(k, '^(.*)([1-9])(0*)$', 1) || (regexp_extract(k, '^(.*)([1-9])(0*)$', 2)::INT - 1)
+    || replace(regexp_extract(k, '^(.*)([1-9])(0*)$', 3), '0', '9'), '0') AS less,
+  k AS same, left(k, length(k) - 1) || (right(k, 1)::INT + 1) AS more FROM k""",
+)
+def wide_boundary_values(spark, sf):
+    """Literals of 19 digits and more: every digit of the double that they are read as."""
+    key = F.col("o_orderkey")
+    literal = F.concat(key.cast("string"), F.repeat(F.lit("7"), (18 + key % 40).cast("int")))
+    near = sqltext.boundary_values(literal)
+    # The literal itself is first, then the number's neighbours and its own digits.
+    rows = t.table(spark, sf, "orders").select(key.alias("row_id"), F.slice(near, -3, 3).alias("x"))
+    return rows.select("row_id", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate(("less", "same", "more"))])

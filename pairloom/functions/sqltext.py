@@ -120,8 +120,8 @@ def _number_text(n: Column) -> Column:
 def boundary_values(val: Column) -> Column:
     """The literal and, for a number K, also K-1, K and K+1 as text.
 
-    Whole numbers are written without a fraction. Infinite values and numbers
-    past the range of a decimal(38,0) stay without neighbours.
+    Whole numbers are written without a fraction, to the last digit of the double that the
+    literal reads as. Infinite values stay without neighbours.
     """
     text = strip(val)
     number = F.when(text.rlike(NUMBER), F.regexp_replace(text, "_", "")).try_cast("double")
@@ -134,17 +134,70 @@ def boundary_values(val: Column) -> Column:
 def _neighbours(n: Column) -> Column:
     """Texts of n-1, n and n+1; NULL for no number."""
     texts = lambda base, text: F.array(*[text(base + d) for d in (-1, 0, 1)])
-    plain = lambda x: x.cast("string")
     whole = n == F.rint(n)
-    wide = n.try_cast("decimal(38,0)")
-    # bigint is exact where it fits; beyond it the decimal text of the double.
+    # A bigint is exact where it fits.
     return (
-        F.when(whole & (F.abs(n) < 9.0e18), texts(n.try_cast("bigint"), plain))
-        .when(whole & wide.isNotNull(), texts(wide, plain))
+        F.when(whole & (F.abs(n) < 9.0e18), texts(n.try_cast("bigint"), lambda x: x.cast("string")))
+        .when(whole, _wide_neighbours(n))
         .when(~whole, texts(n, _number_text))
     )
 
 
+_LIMB_DIGITS = 9
+_LIMB = 10**_LIMB_DIGITS
+_BITS_AT_ONCE = 29  # a limb times so many powers of two stays in a bigint
+
+
+def _div(x: Column) -> Column:
+    return F.call_function("div", x, F.lit(_LIMB))
+
+
+def _times_power(limbs: Column, bits: Column) -> Column:
+    """A whole number in limbs, the lowest first, times a power of two."""
+    factor = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+
+    def step(done: Column, limb: Column) -> Column:
+        return let(
+            limb * factor + done["carry"],
+            lambda x: F.struct(_div(x).alias("carry"), F.array_append(done["out"], x % _LIMB).alias("out")),
+        )
+
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(
+        limbs, start, step, lambda d: F.when(d["carry"] > 0, F.array_append(d["out"], d["carry"])).otherwise(d["out"])
+    )
+
+
+def _digits(n: Column) -> Column:
+    """All digits of a whole double from 2^53 on."""
+
+    def shown(exponent: Column) -> Column:
+        # A double is a whole number below 2^54 times a power of two; both steps are exact.
+        significand = (n / F.pow(F.lit(2.0), exponent)).cast("bigint")
+        limbs = let(significand, lambda m: F.array(m % _LIMB, _div(m)))
+        steps = F.sequence(F.lit(0), exponent - 1, F.lit(_BITS_AT_ONCE))
+        grown = F.aggregate(steps, limbs, lambda x, k: _times_power(x, F.least(F.lit(_BITS_AT_ONCE), exponent - k)))
+        return F.array_join(
+            F.transform(F.reverse(grown), lambda x, i: F.when(i == 0, x.cast("string")).otherwise(F.lpad(x.cast("string"), _LIMB_DIGITS, "0"))), ""
+        )
+
+    return let((F.floor(F.log2(n)) - 53).cast("int"), shown)
+
+
+def _wide_neighbours(n: Column) -> Column:
+    """The same past a bigint, by the digits: such a double is even, so only one less can borrow."""
+
+    def texts(digits: Column) -> Column:
+        more = F.concat(F.regexp_replace(digits, r"\d$", ""), (F.right(digits, F.lit(1)).cast("int") + 1).cast("string"))
+        part = lambda k: F.regexp_extract(digits, r"^(\d*)([1-9])(0*)$", k)
+        less = F.concat(part(1), (part(2).cast("int") - 1).cast("string"), F.replace(part(3), F.lit("0"), F.lit("9")))
+        less = F.ltrim(less, F.lit("0"))
+        minus = lambda x: F.concat(F.lit("-"), x)
+        return F.when(n > 0, F.array(less, digits, more)).otherwise(F.array(minus(more), minus(digits), minus(less)))
+
+    return let(_digits(F.abs(n)), texts)
+
+
 def literal_pools(pairs: Column) -> Column:
     """MAP<col, STRUCT<first, pool>> from ``literal_pairs``.
 

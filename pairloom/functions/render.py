@@ -55,6 +55,28 @@ def question_text(messages: Column) -> Column:
     return F.get(messages, F.size(messages) - 2)["content"]
 
 
+ROLE_NAMES = {"assistant": "model"}
+
+
+def turn_text(
+    role: Column,
+    content: Column,
+    turn_open: str = TURN_OPEN,
+    turn_close: str = TURN_CLOSE,
+    role_names: dict[str, str] | None = None,
+) -> Column:
+    """One turn between its markers; NULL, and so left out, without a role or content."""
+    shown = role
+    for old, new in (ROLE_NAMES if role_names is None else role_names).items():
+        shown = F.when(role == old, F.lit(new)).otherwise(shown)
+    return F.concat(F.lit(turn_open), shown, F.lit("\n"), content, F.lit(turn_close))
+
+
+def open_turn(turn_open: str = TURN_OPEN, role_names: dict[str, str] | None = None) -> str:
+    """The start of an answer, ready to be continued."""
+    return f"{turn_open}{(ROLE_NAMES if role_names is None else role_names).get('assistant', 'assistant')}\n"
+
+
 def render_turns(
     messages: Column,
     generation: bool = False,
@@ -67,25 +89,11 @@ def render_turns(
     ``generation=True`` ends with an open model turn, ready to be continued.
     ``role_names`` renames roles; the assistant is called ``model`` by default.
     """
-    names = {"assistant": "model"} if role_names is None else role_names
-
-    def shown(role: Column) -> Column:
-        out = role
-        for old, new in names.items():
-            out = F.when(role == old, F.lit(new)).otherwise(out)
-        return out
-
     text = F.array_join(
-        F.transform(
-            messages,
-            lambda m: F.concat(
-                F.lit(turn_open), shown(m["role"]), F.lit("\n"), m["content"], F.lit(turn_close)
-            ),
-        ),
-        "\n",
+        F.transform(messages, lambda m: turn_text(m["role"], m["content"], turn_open, turn_close, role_names)), "\n"
     )
     if generation:
-        opened = f"{turn_open}{names.get('assistant', 'assistant')}\n"
+        opened = open_turn(turn_open, role_names)
         text = F.concat(text, F.when(F.size(messages) > 0, F.lit("\n")).otherwise(F.lit("")), F.lit(opened))
     return text
 

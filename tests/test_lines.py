@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.functions import render
 from pairloom.operators import chats, positions, skew
 from pairloom.plans import jobs
 from pairloom.sources import jsonl, lines
@@ -141,3 +142,67 @@ def test_null_keys_meet_in_joins(spark):
         assert sorted(map(tuple, joined.collect()), key=str) == sorted(want, key=str)
     totals = positions.running_totals(rows, ["k"], "v", {"sum": F.col("v")}).collect()
     assert sorted((str(r["k"]), r["position"], r["sum"]) for r in totals) == [("7", 1, 3), ("None", 1, 1), ("None", 2, 3)]
+
+
+def rendered(turns):
+    """Text and spans of each conversation in plain Python."""
+    out = {}
+    for c in {t[0] for t in turns}:
+        own = [t for t in turns if t[0] == c and None not in t[2:]]
+        parts = [f"{render.TURN_OPEN}{'model' if r == 'assistant' else r}\n{x}{render.TURN_CLOSE}" for _, _, r, x in sorted(own, key=lambda t: t[1])]
+        out[c] = "\n".join(parts)
+    return out
+
+
+def spans_of(text, response=render.RESPONSE_MARKER, instruction=render.INSTRUCTION_MARKER):
+    spans, at = [], text.find(response)
+    while at >= 0:
+        start = at + len(response)
+        ends = [k for k in (text.find(response, start), text.find(instruction, start)) if k >= 0]
+        spans.append((start, min(ends, default=len(text))))
+        at = text.find(response, start)
+    return [s for s in spans if s[1] > s[0]]
+
+
+def marked_turns():
+    draw = random.Random(12)
+    bits = [render.RESPONSE_MARKER, render.INSTRUCTION_MARKER, render.TURN_OPEN, render.TURN_CLOSE, "model\n", "user\n", "a", "é \U0001f600", "\n", ""]
+    rows = []
+    for c in [None, *range(25)]:
+        for k in range(draw.randint(1, 9)):
+            role = draw.choice(["user", "assistant", "system", "model"])
+            rows.append((c, 3 * k, role, "".join(draw.choices(bits, k=draw.randint(0, 8)))))
+    return [*rows, (40, 0, None, "no role"), (40, 1, "user", None), (41, 0, "user", render.RESPONSE_MARKER * 3000)]
+
+
+def test_pieces_join_to_the_rendered_text(spark):
+    turns = spark.createDataFrame(marked_turns(), "conv_id bigint, turn int, role string, text string").repartition(4)
+    texts = rendered(marked_turns())
+    for generation in (False, True):
+        pieces = chats.render_pieces(turns, generation).collect()
+        for c, text in texts.items():
+            own = sorted((r for r in pieces if r["conv_id"] == c), key=lambda r: r["position"])
+            whole = text + ("\n" * bool(text) + render.open_turn()) * generation
+            assert "".join(r["piece"] for r in own) == whole
+            assert all(whole.startswith(r["piece"], r["start"]) for r in own)
+
+
+def test_spans_of_texts_that_hold_markers(spark):
+    turns = spark.createDataFrame(marked_turns(), "conv_id bigint, turn int, role string, text string").repartition(4)
+    got = {}
+    for r in chats.turn_spans(turns).collect():
+        got.setdefault(r["conv_id"], []).append((r["start"], r["end"]))
+    # Places in Python's strings are code points, as here.
+    want = {c: spans_of(text) for c, text in rendered(marked_turns()).items()}
+    assert {c: sorted(s) for c, s in got.items()} == {c: s for c, s in want.items() if s}
+
+
+def test_markers_across_turns(spark):
+    """Frames of other markers, so that one reaches over the end of a turn."""
+    rows = [(1, k, r, x) for k, (r, x) in enumerate([("a", "x"), ("b", "yA"), ("a", "zA"), ("b", "w")])]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    text = "\n".join(f"[{r}\n{x}]" for _, _, r, x in rows)
+    found = chats.turn_spans(turns, "]\n[", "zA", turn_open="[", turn_close="]", role_names={}).collect()
+    assert sorted((r["start"], r["end"]) for r in found) == spans_of(text, "]\n[", "zA")
+    with pytest.raises(ValueError):
+        chats.turn_spans(turns, "aba", "user")

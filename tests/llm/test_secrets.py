@@ -1,7 +1,6 @@
 import random
 import re
 import time
-from itertools import accumulate
 
 import pytest
 from awkward import documents, empty
@@ -109,11 +108,3 @@ def test_many_matches_in_one_text(spark):
     spans = {r.doc_id: r.spans for r in secrets.scan(docs).collect()}
     assert time.time() - begun < 30
     assert [s.start for s in spans[1]] == list(range(0, 18 * 100_000, 18)) and {s.end - s.start for s in spans[1]} == {15} and spans[2] == []
-
-
-def test_running_sums(spark):
-    draw = random.Random(6)
-    rows = [(k, [draw.randint(0, 9) for _ in range(k)]) for k in (0, 1, 2, 3, 4, 5, 8, 9, 10, 17, 100, 1000)]
-    df = spark.createDataFrame(rows, "k int, v array<bigint>")
-    got = {r.k: r.s for r in df.select("k", secrets.running_sums(df["v"]).alias("s")).collect()}
-    assert got == {k: list(accumulate(v)) for k, v in rows}

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.functions import cells
+from pairloom.functions import cells, render
 from pairloom.operators import execute, verdicts
-from pairloom.plans import scoring
+from pairloom.plans import jobs, scoring
 from pairloom.staging import staged
 
 from . import tables as t
@@ -299,7 +299,7 @@ def literal_pairs(spark, sf):
     )
 
 
-def _literal_sql() -> str:
+def _literal_sql(candidate: int = 1) -> str:
     from .fixtures import PLAN_SQL, ROWS_SQL, FACTS_SQL  # the SQL of the synthetic rows
 
     def case(side):
@@ -311,8 +311,9 @@ def _literal_sql() -> str:
         return f"CASE o_orderpriority {arms} END"
 
     source = f"""instructions AS (SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN '{t.SCHEMAS["P"]}' ELSE '{t.ORDERS}' END AS context,
-      {case(0)} AS answer, {case(1)} AS candidate FROM orders)"""
+      {case(0)} AS answer, {case(candidate)} AS candidate FROM orders)"""
     facts = FACTS_SQL.replace(t.INSTRUCTIONS, source)
+    same = "true" if candidate == 0 else "false"
     return f"""WITH {facts}, {PLAN_SQL}, {ROWS_SQL}, wide AS (
   SELECT row_id, db_ix, row_ix, TRY_CAST(max(cell) FILTER (WHERE col_ix = 0) AS BIGINT) AS k,
     max(cell) FILTER (WHERE col_ix = 1) AS s, TRY_CAST(max(cell) FILTER (WHERE col_ix = 2) AS DOUBLE) AS p
@@ -323,7 +324,7 @@ def _literal_sql() -> str:
     max(k) FILTER (WHERE k <= o_orderkey) OVER (PARTITION BY row_id, db_ix) AS below
   FROM orders JOIN wide ON row_id = o_orderkey
 ), checks AS (
-  SELECT pair_id, db_ix, CASE o_orderpriority
+  SELECT pair_id, db_ix, {same} OR CASE o_orderpriority
       WHEN '2-HIGH' THEN count(*) FILTER (WHERE p = price + 0.5) = 0
       WHEN '4-NOT SPECIFIED' THEN coalesce(max(below) = max(key), true)
       WHEN '5-LOW' THEN count(*) FILTER (WHERE dearer AND p <= price) = 0
@@ -340,3 +341,45 @@ SELECT pair_id, CASE WHEN NOT bool_and(equal) THEN 'mismatch' WHEN bool_or(live)
 def score_texts(spark, sf):
     """Texts with an outer join, IN, a scalar subquery and NOT EXISTS, and literals of their own, judged over all orders."""
     return scoring.score_pairs(literal_pairs(spark, sf))
+
+
+def _prompt_rows(spark, sf):
+    """A split's rows, one per order, with texts that can be run."""
+    asked = t.instructions(spark, sf).select("row_id", "question")
+    texts = literal_pairs(spark, sf).select(F.col("pair_id").alias("row_id"), F.col("schema").alias("context"), F.col("gold").alias("answer"), "candidate")
+    return texts.join(asked, "row_id").withColumnRenamed("row_id", "split_ix")
+
+
+_CONTEXT = f"""CASE WHEN o_orderstatus = 'P' THEN '{t.SCHEMAS["P"]}' ELSE '{t.ORDERS}' END"""
+
+
+@query(
+    "rl_prompts",
+    f"""WITH screened AS ({_literal_sql(candidate=0)}), {t.INSTRUCTIONS}
+SELECT pair_id AS db_seed, {t.HEAD_SQL} || {_CONTEXT} || {t.ASK_SQL} || question AS user_content
+FROM screened JOIN orders ON o_orderkey = pair_id JOIN instructions ON row_id = pair_id WHERE verdict = 'match'""",
+)
+def rl_prompts(spark, sf):
+    """Prompts for sampling, of all orders whose own query can tell right from wrong."""
+    rows = _prompt_rows(spark, sf).select("split_ix", "context", "question", "answer")
+    return jobs.rl_prompts(rows)[0].select(F.col("db_seed").cast("bigint").alias("db_seed"), "user_content")
+
+
+@query(
+    "live_band",
+    f"""WITH own AS ({_literal_sql(candidate=0)}), other AS ({_literal_sql()})
+SELECT * FROM (SELECT own.pair_id AS prompt_id, (own.verdict = 'match')::BIGINT + (other.verdict = 'match')::BIGINT AS wins,
+    2::BIGINT AS group_size FROM own JOIN other ON own.pair_id = other.pair_id) WHERE wins > 0 AND wins < group_size""",
+)
+def live_band(spark, sf):
+    """Prompts of which some samples are right: each order's query and the one beside it, as sampled answers."""
+    rows = _prompt_rows(spark, sf)
+    prompts = rows.select(
+        F.col("split_ix").alias("prompt_id"),
+        render.prompt_text(F.col("context"), F.col("question")).alias("user_content"),
+        F.col("answer").alias("gold"),
+        F.col("split_ix").alias("db_seed"),
+    )
+    fenced = lambda c: F.concat(F.lit("```sql\n"), F.col(c), F.lit("\n```"))
+    samples = rows.select(F.col("split_ix").alias("prompt_id"), F.posexplode(F.array(fenced("answer"), fenced("candidate"))).alias("sample_ix", "response"))
+    return jobs.live_band(prompts, samples).select("prompt_id", "wins", "group_size")

@@ -4,6 +4,9 @@ A draw depends on its key alone, so any partitioning, retry or re-run of a task
 gives the same value.
 """
 
+from collections.abc import Sequence
+from math import ceil
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +51,23 @@ def is_number_column(col: Column, sql_type: Column) -> Column:
     return number
 
 
+def _digits(digest: Column, slot: int) -> Column:
+    return F.substring(digest, 1 + slot * HEX_DIGITS, HEX_DIGITS)
+
+
+def _below(share: float) -> str:
+    """The least digits of a uniform number that is not below ``share``; digits order like numbers."""
+    return f"{ceil(share * HEX_RANGE):0{HEX_DIGITS}x}"
+
+
+def _one_of(digits: Column, values: Sequence[str]) -> Column:
+    """``values[pick(u, n)]`` by comparing digits, a fraction of the cost of reading them as a number."""
+    n, out = len(values), F.lit(values[-1])
+    for k in range(n - 1, 0, -1):
+        out = F.when(digits < _below(k / n), F.lit(values[k - 1])).otherwise(out)
+    return out
+
+
 def fixture_cell(key: Column, number: Column, pool: Column) -> Column:
     """One synthetic cell as text.
 
@@ -55,16 +75,14 @@ def fixture_cell(key: Column, number: Column, pool: Column) -> Column:
     gets 1..6 and any other column one of five words: ranges that small make join
     keys and categories meet across rows.
     """
-    words = F.array(*[F.lit(w) for w in FILLER_WORDS])
+    numbers = [str(k + 1) for k in range(SMALL_INTS)]
 
     def drawn(digest: Column) -> Column:
-        v = unit(digest, 1)
+        member = F.get(pool, pick(unit(digest, 1), F.size(pool)))
         return (
-            F.when(
-                (F.size(pool) > 0) & (unit(digest, 0) < LITERAL_SHARE), F.get(pool, pick(v, F.size(pool)))
-            )
-            .when(number, (pick(v, F.lit(SMALL_INTS)) + 1).cast("string"))
-            .otherwise(F.get(words, pick(v, F.lit(len(FILLER_WORDS)))))
+            F.when((F.size(pool) > 0) & (_digits(digest, 0) < _below(LITERAL_SHARE)), member)
+            .when(number, _one_of(_digits(digest, 1), numbers))
+            .otherwise(_one_of(_digits(digest, 1), FILLER_WORDS))
         )
 
     return let(F.md5(key), drawn)

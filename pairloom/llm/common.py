@@ -1,5 +1,6 @@
 """Helpers that the operators share: worker code, staged tables, checked broadcasts."""
 
+import ctypes
 import gc
 import io
 import tempfile
@@ -46,8 +47,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def slices(batches, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE):
-    """Record batches cut small: what a worker makes of one batch is in memory at once."""
+def slices(batches, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE, keep: bool = False):
+    """Record batches cut small: what a worker makes of one batch is in memory at once.
+
+    What other stages ``held`` in this worker goes first, unless this one holds something itself
+    (``keep``), and what the task has freed goes back to the system at its end.
+    """
+    if not keep:
+        _held.clear()
+    _give_back()
     for batch in batches:
         k = 0
         while k < batch.num_rows:
@@ -58,6 +66,16 @@ def slices(batches, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE):
             yield part
         del batch
         pa.default_memory_pool().release_unused()
+    _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory that the allocators keep, back to the system, where they can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 _held: dict = {}
@@ -71,7 +89,6 @@ def held(kind: str, key, make):
     """
     if kind not in _held:
         _held.clear()
-        gc.collect()
         _held[kind] = {}
     if key not in _held[kind]:
         _held[kind][key] = make()

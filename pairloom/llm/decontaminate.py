@@ -197,7 +197,7 @@ def without_spans(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _find(key: str, shared, last: bool, cleaned: bool):
     def find(batches):
         automaton = _automaton(key, shared)
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             n_words, spans, items, raws = [], [], [], batch.column("raw").to_pylist()
             earlier = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
             for raw, (old_spans, old_items) in zip(raws, earlier):

@@ -123,7 +123,7 @@ def _pack(path: str, cache_pieces: int, window: int, open_windows: int, end_id:
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             docs_type = batch.column("doc_id").type
             texts = batch.column("text").to_pylist()
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):

@@ -33,7 +33,7 @@ WORDS = "words"
 
 def _count(vocabularies: dict[str, str]):
     def count(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             raws = batch.column("raw").to_pylist()
             counts = []
             for name, path in vocabularies.items():

@@ -124,7 +124,7 @@ def sampler(samples: int) -> Sampler:
 def _signatures(samples: int):
     def signatures(batches):
         draw = sampler(samples)
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             kept = [n for n in batch.schema.names if n != "text"]
             prints = [draw.fingerprint(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -188,7 +188,7 @@ def _walk(samples: int):
     def walk(batches):
         draw, part = sampler(samples), TaskContext.get().partitionId()
         last = kind = None
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             kind = batch.column("doc_id").type
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -209,7 +209,7 @@ def _walk(samples: int):
 def _ends(samples: int):
     def ends(batches):
         draw = sampler(samples)
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             rows = [
                 (doc, *_compare(draw, text, draw.fingerprint(text), nxt, draw.fingerprint(nxt)))
                 for doc, text, nxt in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "following")))

@@ -182,6 +182,7 @@ def test_unsafe_texts_do_not_run(spark, keyed, sql):
         ("SELECT \"a\" FROM t WHERE b = \"1\"", "SELECT a FROM t WHERE b = '1'"),
         ("SELECT trim(BOTH ' ' FROM b) AS b FROM t", "SELECT trim(b) AS b FROM t"),
         ("SELECT b, n FROM (SELECT b, row_number() OVER (PARTITION BY b ORDER BY a) AS n FROM t) x WHERE n = 1", "SELECT DISTINCT b, 1 AS n FROM t"),
+        ("SELECT a FROM t /* it's \"b\" */ WHERE \"b\" = '1' -- don't", "SELECT a FROM t WHERE b = '1'"),
         ("SELECT a FROM t WHERE b = 'outer(x)' OR a > 3", "SELECT a FROM t WHERE a > 3"),
     ],
 )

@@ -260,16 +260,20 @@ def find_hits(
         F.expr("cast(array() AS array<struct<start: bigint, end: bigint>>)").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("items"),
     )
-    blocks = list(_blocks(items, item_id_col, item_text_col, block_words))
-    for number, block in enumerate(blocks, 1):
+    blocks = _blocks(items, item_id_col, item_text_col, block_words)
+    block = next(blocks)
+    while True:
+        # The driver holds this block and the next one, executors one automaton a task.
+        following = next(blocks, None)
         shared = spark.sparkContext.broadcast((block, window))
         key = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-        last = number == len(blocks)
+        last = following is None
         more = ("cleaned string, " if cleaned else "") if last else "raw binary, "
         rows = rows.mapInArrow(_find(key, shared, last, cleaned), with_fields(rows, [*keep], more + _FOUND))
-        if not last:
-            rows = staged(rows, "hits")  # one automaton at a time in a task's memory
-    return rows
+        if last:
+            return rows
+        rows, block = staged(rows, "hits"), following
+        shared.destroy()
 
 
 def n_hit() -> Column:

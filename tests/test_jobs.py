@@ -187,3 +187,14 @@ def test_turn_spans_equal_the_spans_of_the_text(spark):
     want = chats.turns_to_chat(turns).select("conv_id", F.inline(render.response_spans(text))).collect()
     got = chats.turn_spans(turns).select("conv_id", "start", "end").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_large_places_seed_databases_of_their_own(spark, rows):
+    """A seed times the stride, or the place itself, may pass 32 bits."""
+    places = [3_000_000, 5_000_000_000]
+    split = rows.filter("row_id < 2").select(
+        F.get(F.array(*map(F.lit, places)), F.col("row_id").cast("int")).cast("bigint").alias("split_ix"), "context", "question", "answer")
+    assert sorted(r["db_seed"] for r in jobs.rl_prompts(split)[0].collect()) == places
+    narrow = split.filter(F.col("split_ix") == places[0]).select(
+        F.col("split_ix").cast("int").alias("db_seed"), render.prompt_text(F.col("context"), F.col("question")).alias("user_content"), F.col("answer").alias("gold"))
+    assert [r["db_seed"] for r in jobs.screen_prompts(narrow).collect()] == [places[0]]

@@ -26,7 +26,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similarities of 0.8 or more join, by five-word shingles, stays."""
+    """One document of each group that similarities of 0.8 or more join, by five-word shingles, stays.
+
+    Candidates meet by operator 1's ball hashing, and by MinHash bands where they differ in more bits than it reaches.
+    """
     return neardup.keep_one(docs)
 
 

@@ -1,7 +1,9 @@
 """Near-duplicates by the Jaccard similarity of their word shingles, verified exactly.
 
 1. A text becomes the set of its five-word shingles (64-bit hashes); texts with equal
-   sets are one node, and ``BANDS`` keys of ``BAND_HASHES`` least hashes each say where it
+   sets are one node. The set has a SimHash fingerprint, and nodes whose fingerprints the ball
+   hashing of ``simhash`` joins are compared by their whole sets and linked if they are similar.
+   Most pairs at 0.8 differ in more bits than a ball reaches. For those ``BANDS`` keys of ``BAND_HASHES`` least hashes each say where it
    meets others. Two sets of similarity 0.8 share no key in 3 of a million cases.
 2. Nodes that share a key meet one of them, the pivot. Pairs are compared by their whole
    sets and linked if they are similar; groups of near copies become few components.
@@ -26,6 +28,7 @@ from pairloom.staging import staged
 
 from .common import raw_text, ship, slices
 from .components import components
+from . import simhash
 from .simhash import first_of_each
 
 SHINGLE_WORDS = 5
@@ -75,18 +78,20 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _prints(batches):
     for batch in slices(batches):
-        nodes, keys = [], []
+        nodes, keys, sims = [], [], []
         for raw in batch.column("text").to_pylist():
             found = shingles(raw)
             nodes.append(xxhash.xxh64_intdigest(found.tobytes()))
             keys.append(band_keys(found))
+            sims.append(simhash.majority([found], len(found)))
         yield pa.RecordBatch.from_arrays(
             [
                 *batch.drop_columns(["text"]).columns,
                 pa.array(np.array(nodes, np.uint64).view(np.int64)),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(sims, pa.int64()),
             ],
-            names=[*(n for n in batch.schema.names if n != "text"), "fp", "bands"],
+            names=[*(n for n in batch.schema.names if n != "text"), "fp", "bands", "sim"],
         )
 
 
@@ -116,15 +121,31 @@ def _ordered(one: str, other: str) -> list:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def links(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): similar pairs that join all similar nodes with a common band.
+def met_in_balls(sims: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes that join all whose fingerprints ``simhash.links`` joins.
 
-    ``shared`` (band, node) and ``sets`` (node, found) are staged tables without repeats.
+    ``sims`` (node, sim) is a staged table with one row per node. Nodes of one fingerprint meet the
+    least of them, and these meet each other, so no common fingerprint makes all its pairs.
+    """
+    heads = staged(sims.groupBy("sim").agg(F.min("node").alias("head")), "heads")
+    same = sims.join(heads, "sim").filter("node != head").select(*_ordered("node", "head"))
+    one, other = (heads.select(F.col("sim").alias(n), F.col("head").alias(f"head_{n}")) for n in ("a", "b"))
+    near = staged(simhash.links(heads.select(F.col("sim").alias("fp"))), "balls")
+    half = staged(near.join(one, "a"), "half")
+    return same.unionByName(half.join(other, "b").select(*_ordered("head_a", "head_b")))
+
+
+def links(shared: DataFrame, sets: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b): similar pairs that join all similar nodes with a common band, and those of the pairs ``met``.
+
+    ``shared`` (band, node), ``sets`` (node, found) and ``met`` (a, b) are staged tables without repeats.
     """
-    spark = shared.sparkSession
     rows, before = shared.count(), None
-    tested = found = spark.createDataFrame([], "a bigint, b bigint")
-    members = shared.select("band", "node", F.col("node").alias("root"))
+    tested, found = met, _near(met, sets)
+    roots = staged(components(found), "roots")
+    members = staged(
+        shared.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "members"
+    )
     turn = 0
     while True:
         drawn = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
@@ -168,13 +189,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = docs.select(F.col(id_col).alias("doc_id"), digest.alias("digest"), raw_text(text_col).alias("text"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     prints = staged(
-        texts.mapInArrow(_prints, f"doc_id {id_type}, digest bigint, fp bigint, bands array<bigint>"), "prints"
+        texts.mapInArrow(_prints, f"doc_id {id_type}, digest bigint, fp bigint, bands array<bigint>, sim bigint"), "prints"
     )
     bands = staged(prints.select(F.explode("bands").alias("band"), F.col("fp").alias("node")).distinct(), "bands")
     often = staged(bands.groupBy("band").count().filter("count > 1").select("band"), "often")
     shared = staged(bands.join(often, "band"), "shared")
+    sims = prints.filter(F.size("bands") > 0).groupBy(F.col("fp").alias("node")).agg(F.min("sim").alias("sim"))
+    met = staged(met_in_balls(staged(sims, "sims")), "met")
     # One document of each node; no broadcast at any size, so that small inputs show what large ones cost.
-    wanted = shared.select(F.col("node").alias("fp")).distinct()
+    meeting = met.select(F.explode(F.array("a", "b")).alias("fp"))
+    wanted = shared.select(F.col("node").alias("fp")).unionByName(meeting).distinct()
     one = staged(
         prints.groupBy("fp").agg(F.min(F.struct("doc_id", "digest")).alias("one")).join(wanted, "fp").select("fp", "one.*"),
         "one",
@@ -184,5 +208,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     repeated = staged(picked.select("node", "text").mapInArrow(_sets, "node bigint, found binary"), "repeated")
     sets = staged(repeated.dropDuplicates(["node"]), "sets")
     rows = staged(prints.groupBy("fp", "doc_id", "digest").agg(F.count("*").alias("copies")), "rows")
-    members = staged(components(links(shared, sets)), "members")
+    members = staged(components(links(shared, sets, met)), "members")
     return first_of_each(docs, rows, members, id_col, digest)

@@ -12,6 +12,7 @@ a doc_id are documents of their own with the same id; rows with a null doc_id ta
 and never name a component unless all of its rows lack an id (then it is null).
 """
 
+from collections.abc import Iterable
 from itertools import combinations
 
 import numpy as np
@@ -42,16 +43,27 @@ def fingerprint(raw: bytes, width: int = SHINGLE_WORDS) -> int:
     if not words:
         return 0
     shingles = max(1, len(words) - width + 1)
+
+    def parts():
+        for start in range(0, shingles, SHINGLES_AT_ONCE):
+            part = words[start : start + SHINGLES_AT_ONCE + width - 1]
+            count = min(SHINGLES_AT_ONCE, shingles - start)
+            joined = map(b" ".join, zip(*(part[k : k + count] for k in range(width)))) if len(words) >= width else [
+                b" ".join(words)
+            ]
+            yield np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in joined), "<u8", count)
+
+    return majority(parts(), shingles)
+
+
+def majority(parts: Iterable[np.ndarray], count: int) -> int:
+    """The signed 64-bit number whose bits are set in over half of ``count`` hashes, given in parts."""
     ones = np.zeros(64, np.int64)
-    for start in range(0, shingles, SHINGLES_AT_ONCE):
-        part = words[start : start + SHINGLES_AT_ONCE + width - 1]
-        count = min(SHINGLES_AT_ONCE, shingles - start)
-        joined = map(b" ".join, zip(*(part[k : k + count] for k in range(width)))) if len(words) >= width else [
-            b" ".join(words)
-        ]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in joined), "<u8", count)
-        ones += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > shingles, bitorder="little").view("<i8")[0])
+    for hashes in parts:
+        for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+            some = np.ascontiguousarray(hashes[start : start + SHINGLES_AT_ONCE], "<u8")
+            ones += np.unpackbits(some.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > count, bitorder="little").view("<i8")[0])
 
 
 def _fingerprints(batches):

@@ -77,3 +77,21 @@ def test_awkward_documents(spark):
     assert len(rows) == len(set(groups(range(len(found)), lambda a, b, s=list(found): is_near(s[a], s[b])).values()))
     assert {0, 4} <= {r.doc_id for r in rows} and not {1, 2, 3, 5, 6} & {r.doc_id for r in rows}
     assert neardup.keep_one(empty(spark)).count() == 0
+
+
+def test_the_stage_meets_by_ball_hashing(spark, monkeypatch):
+    """Candidates come from operator 1's balls; sets decide, so no pair below the similarity is linked."""
+    base = prose(3, 2000)
+    rows = [(0, base), (1, altered(base, 1, 2)), (2, prose(4, 300)), (3, "a b"), (4, "")]
+    met, near = [], neardup._near
+
+    def seen(pairs, sets):
+        met.append(pairs.count())
+        return near(pairs, sets)
+
+    monkeypatch.setattr(neardup, "_near", seen)
+    assert kept(spark, rows) == kept_by_rule(rows) == [0, 2, 3, 4]
+    assert met[0] == 1
+    sims = spark.createDataFrame([(10, 0), (11, 0), (12, 3), (13, -1), (14, 3 << 40 | 3)], "node bigint, sim bigint")
+    pairs = {tuple(r) for r in neardup.met_in_balls(sims).collect()}
+    assert (10, 11) in pairs and (10, 12) in pairs and (12, 14) in pairs and not any(13 in p for p in pairs)

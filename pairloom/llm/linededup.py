@@ -6,7 +6,7 @@ or not. Earlier is by doc_id, then (for rows with equal ids) a hash of the text,
 line number.
 
 1. Lines with equal sets are merged, their first place kept (partial aggregates).
-2. The words of a set are ordered by rarity: by the documents of their hash bucket in
+2. The words of a set are ordered by rarity: by the occurrences of their hash bucket in
    the whole corpus (a table of fixed size), then by hash. Matching sets share a word within
    their prefixes of ``n - ceil(0.8 n) + 1`` words.
 3. Star round: where many sets of a size share one of their last prefix words, each is
@@ -34,11 +34,14 @@ PART, WHOLE = 4, 5
 #: Hash buckets whose word counts order the words.
 BUCKETS = 1 << 16
 SPACE = r" \t\x0B\f\r"
+#: White space other than blanks, within a line.
+OTHER_SPACE = r"[\t\x0B\f\r]"
 PLACE = ["doc_id", "digest", "line_no"]
 #: The star round's words of a set, and its first sets of a group.
 STAR_WORDS, HEADS = 4, 4
-#: Parities of the words by six bits of their keys, in two words by a seventh.
-BITMAPS = {"low": "1L - ((k >> 6) & 1)", "high": "(k >> 6) & 1"}
+#: Parities of the words by six bits of their keys, in two words by a seventh: what each value of the
+#: seven bits flips. (A lambda is interpreted for every word, and looking up costs half of shifting.)
+BITMAPS = {"low": [*(1 << b for b in range(64)), *[0] * 64], "high": [*[0] * 64, *(1 << b for b in range(64))]}
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -53,29 +56,41 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _worded(lines: DataFrame) -> DataFrame:
     """The lines that have words, with ``words`` (repeats included) in place of ``line``."""
     rest = [c for c in lines.columns if c != "line"]
-    clean = F.expr(r"btrim(lower(line), ' \t\u000B\f\r')")
+    # Only a split at one plain character goes without a pattern compiled for every line.
+    clean = F.btrim(F.regexp_replace(F.lower("line"), OTHER_SPACE, " "))
     return (
         lines.select(*rest, clean.alias("clean"))
         .filter("clean != ''")
-        .select(*rest, F.split("clean", rf"[{SPACE}]+").alias("words"))
+        .select(*rest, F.array_remove(F.split("clean", " "), "").alias("words"))
     )
 
 
 def _rarity(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row with an array: the class of each bucket by its documents, from rare to frequent."""
-    words = F.split(F.lower(text_col), rf"[\n{SPACE}]+")
-    held = F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS))))
-    counts = docs.select(F.explode(held).alias("bucket")).groupBy("bucket").count()
+    """One row with an array: the class of each bucket by its words, from rare to frequent, as a key's high byte."""
+    words = F.split(F.regexp_replace(F.lower(text_col), rf"[\n{SPACE}]", " "), " ")
+    counts = (
+        docs.select(F.explode(words).alias("word"))
+        .filter("word != ''")
+        .groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket"))
+        .count()
+    )
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("bigint").alias("count"))
+    high = F.shiftleft(F.least(F.floor(4 * F.log2(F.sum("count") + 1)), F.lit(127)).cast("bigint"), 56)
     classes = (
         counts.unionByName(every)
         .groupBy("bucket")
-        .agg(F.least(F.floor(4 * F.log2(F.sum("count") + 1)), F.lit(127)).cast("bigint").alias("class"))
+        .agg(high.alias("class"))
         .agg(F.array_sort(F.collect_list(F.struct("bucket", "class"))).alias("all"))
     )
     return staged(classes.select(F.col("all.class").alias("class")), "rarity")
 
 
+def _flips(masks: list[int]) -> str:
+    """SQL: an array of 64-bit numbers."""
+    signed = (m - (1 << 64) if m >> 63 else m for m in masks)
+    return f"array({', '.join(f'cast({m} as bigint)' for m in signed)})"
+
+
 def _sets(lines: DataFrame, rarity: DataFrame) -> DataFrame:
     """A row for each distinct set: lid, its first place, n, bitmap, prefix (keys in order of rarity)."""
     keyed = (
@@ -84,8 +99,7 @@ def _sets(lines: DataFrame, rarity: DataFrame) -> DataFrame:
         .withColumn(
             "keys",
             F.expr(
-                f"sort_array(transform(hashes, h -> shiftleft(class[cast(pmod(h, {BUCKETS}) as int)], 56)"
-                " | shiftrightunsigned(h, 8)))"
+                f"sort_array(transform(hashes, h -> class[int(h & {BUCKETS - 1})] | shiftrightunsigned(h, 8)))"
             ),
         )
         .select(
@@ -94,8 +108,8 @@ def _sets(lines: DataFrame, rarity: DataFrame) -> DataFrame:
             F.struct(*PLACE).alias("place"),
             F.size("keys").alias("n"),
             *(
-                F.expr(f"aggregate(keys, 0L, (b, k) -> b ^ shiftleft({bit}, cast(k & 63 as int)))").alias(name)
-                for name, bit in BITMAPS.items()
+                F.expr(f"aggregate(keys, 0L, (b, k) -> b ^ {_flips(masks)}[int(k & 127)])").alias(name)
+                for name, masks in BITMAPS.items()
             ),
             F.expr(f"slice(keys, 1, size(keys) - ({PART} * size(keys) + {WHOLE - 1}) div {WHOLE} + 1)").alias("prefix"),
         )
@@ -225,7 +239,8 @@ def dedup_lines(
     found = rows.join(
         small(kept, 96), F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("d") == F.col("digest")), "left"
     )
-    blank = r"filter(sequence(0, size(lines) - 1), j -> btrim(lines[j], ' \t\u000B\f\r') = '')"
+    # SQL text has no \f: it would be the letter.
+    blank = r"filter(sequence(0, size(lines) - 1), j -> btrim(lines[j], ' \t\u000B\u000C\r') = '')"
     found = found.withColumn("lines", F.split("t", "\n")).withColumn(
         "stay", F.expr(f"array_sort(concat(coalesce(kept, cast(array() as array<int>)), {blank}))")
     )

@@ -50,6 +50,13 @@ def test_many_near_copies_are_settled_by_one_each(spark):
     assert got == dict(by_rule(rows))
 
 
+def test_lines_keep_an_f_at_their_ends(spark):
+    rows = [(1, "are for all of these\nf\n\f\ncliff of"), (2, "for all of these\nf\n \f \nclif of\no")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = dict(plain(linededup.dedup_lines(docs), "doc_id", "text"))
+    assert got == {1: rows[0][1], 2: " \f \nclif of\no"}
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     got = linededup.dedup_lines(docs, count_col="gone")

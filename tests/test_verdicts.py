@@ -287,6 +287,30 @@ def test_shapes_keep_what_a_plan_must_see(spark):
         assert scoring.shapes.with_literals(r["s"]["text"], ["?"] * 9) == texts[r["q"]]
 
 
+def test_a_sketch_has_the_shape_of_its_texts(spark):
+    texts = [
+        "SELECT a FROM t WHERE a=5 LIMIT 3", "select a from T where T.a >= -5 /* a = 4 */ -- b = 'x'", "SELECT a FROM t WHERE a LIKE-1.25",
+        "SELECT a FROM t WHERE a = 5 + 1 OR b = 'a''b' OR b = 'x\\'y' OR a <=> 5 OR count(*) > 5", "SELECT * FROM t WHERE a = 5",
+        "SELECT a FROM t WHERE b = \"a\" AND b = \"it's\" AND b IN ('b = 5')", "SELECT 'n a''b' b like5 c <> '' AND", "b = 'é' AND nope = 'x' AND c < 123456789012.5",
+        "SELECT a FROM t WHERE a = 12345678901 AND b = '' AND a <> 1.5", "", "SELECT 1", None,
+    ]
+    df = spark.createDataFrame([(q,) for q in texts], "q string").withColumn("tables", fixtures.sqltext.parse_tables(F.lit(SCHEMA)))
+    df = df.withColumn("names", scoring.shapes.schema_names(F.col("tables")))
+    whole = scoring.shapes.shape(F.col("q"), F.col("names"))
+    sketched = df.withColumn("s", scoring.shapes.sketch(F.col("q"), F.col("names")))
+    by_sketch = scoring.shapes.shape(scoring.shapes.drawn(F.col("s")), F.col("names"))
+    for r in sketched.select("q", whole.alias("whole"), by_sketch["text"].alias("text"), "s.literals").collect():
+        assert (r["whole"]["text"], r["whole"]["literals"]) == (r["text"], r["literals"]), r["q"]
+
+
+def test_shapes_are_made_once_for_texts_that_differ_in_literals(spark):
+    """A sketch for each shape and schema, or one more where a number's length or a fraction changes the types."""
+    known = scoring.with_sketches(fixtures.with_schema_facts(own_literals(spark, 400)))
+    assert known.select("sketch_id").distinct().count() <= 40
+    shaped = scoring.with_shapes(known.select("sketch_id", "sketch").distinct())
+    assert known.join(shaped, "sketch_id").count() == 400
+
+
 def test_the_second_round_has_the_undecided_pairs_only(spark, monkeypatch):
     made, rows = [], scoring.fixture_rows
     monkeypatch.setattr(scoring, "fixture_rows", lambda left, *args: made.append(left.count()) or rows(left, *args))
@@ -361,6 +385,13 @@ def test_fixture_rows(spark):
     assert all(abs(share[w] - 0.12) < 0.02 for w in ("alpha", "bravo", "carol", "delta", "echo"))
 
 
+def test_fixture_rows_makes_its_arrays_once(spark):
+    """No filter before an explode that makes tables or row plans a second time."""
+    plan = fixtures.fixture_rows(facts(spark, 10, 1), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert not any("lambda" in line or "regexp" in line or "size(" in line for line in filters)
+
+
 def test_reward(spark):
     df = spark.createDataFrame([("match",), ("mismatch",), ("gold_error",), ("non_discriminative",)], "v string")
     assert [r[0] for r in df.select(verdicts.reward(F.col("v"))).collect()] == [1.0, 0.0, 0.0, 0.0]
